@@ -199,7 +199,7 @@ def customer_products(roles: Roles, rules: Rules, active_only: bool = False) ->
     g = tpc.groupBy("cod_cliente", "grupo_produto").agg(
         latest.alias("last"),
         F.avg(F.col("valor_contrato")).cast("double").alias("valor_medio_contrato"),
-        F.avg(F.col("total_usuarios")).cast("double").alias("media_usuarios"),
+        F.avg(F.col("total_usuarios").cast("double")).alias("media_usuarios"),
         F.avg(months.cast("double")).alias("meses_vida_contrato"),
     )
     out = g.select(

@@ -172,7 +172,7 @@ TASK_FEATURE_INPUTS = (
 )
 
 
-def customer_tasks(roles: Roles, rules: Rules) -> DataFrame:
+def customer_tasks(roles: Roles, rules: Rules, history_for_missing_only: bool = True) -> DataFrame:
     """The base query's task CTE, one row per kept main task.
 
     Columns: cod_cliente, dias_exec_tarefa and the five conditional durations,
@@ -184,7 +184,10 @@ def customer_tasks(roles: Roles, rules: Rules) -> DataFrame:
         "cliente", "nros", "data_cad", "data_exe", "categoria", "subcategoria", "prioridade", "para1"
     )
     t = with_category_flags(t, roles.category, rules).where(~F.col("is_excluded_text"))
-    t = join_history_where_needed(t, roles.task_history)
+    if history_for_missing_only:
+        t = join_history_where_needed(t, roles.task_history)
+    else:
+        t = join_task_history(t, roles.task_history)
     t = join_user_group(t, roles.user)
     return t.select(
         F.col("cliente").alias("cod_cliente"),
