@@ -146,7 +146,7 @@ def consolidated_contracts(contract: DataFrame) -> DataFrame:
     )
 
 
-def contract_products(roles: Roles, rules: Rules) -> DataFrame:
+def contract_products(roles: Roles, rules: Rules, having: bool = True) -> DataFrame:
     """A14 one row per contract of the product-group query, HAVING applied (F8).
 
     Columns: cod_cliente, nome_cliente, id_contrato, status, data_assinatura,
@@ -180,6 +180,8 @@ def contract_products(roles: Roles, rules: Rules) -> DataFrame:
         F.col("valor_contrato"),
         F.col("total_usuarios"),
     )
+    if not having:
+        return out
     return out.where((F.col("flag_cpj") == 1) & (F.col("valor_contrato") > 0) & (F.col("total_usuarios") > 0))
 
 
