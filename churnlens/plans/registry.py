@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.plans import customer, customer_product, oracle
+from churnlens.plans.oracle_round import round_doubles
 from churnlens.rules import DRIVER_RULES
 from churnlens.sources.roles import driver_roles
 
@@ -26,21 +27,35 @@ R = DRIVER_RULES
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round double columns (registered form only)."""
+    """Round double columns (registered form only): ``rint(x * 10^d) / 10^d``,
+    the same IEEE operations as the oracle's ``round_even`` wrapper."""
+    scale = float(10**digits)
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            c = F.col(f.name).cast("double")
+            cols.append((F.rint(c * F.lit(scale)) / F.lit(scale)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
 def register(key: str, sql: str | None = None):
+    """Register a query; every registered DataFrame has its doubles rounded,
+    and the oracle SQL gets the same rounding."""
+
     def deco(fn):
-        QUERIES[key] = fn
+        if key in QUERIES:
+            raise KeyError(f"query {key!r} registered twice")
+
+        def run(spark: SparkSession, sf_dir: str, _fn=fn) -> DataFrame:
+            return rounded(_fn(spark, sf_dir))
+
+        run.__name__ = getattr(fn, "__name__", key)
+        run.__doc__ = fn.__doc__
+        QUERIES[key] = run
         if sql is not None:
-            ORACLE_SQL[key] = sql
+            ORACLE_SQL[key] = round_doubles(sql)
         return fn
 
     return deco
@@ -75,3 +90,4 @@ def q_customer_product_features_active(spark, sf_dir):
 
 # single-operator queries register themselves on import
 from churnlens.plans import catalog  # noqa: E402,F401
+from churnlens.plans import catalog_analytics  # noqa: E402,F401
