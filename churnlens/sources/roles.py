@@ -116,8 +116,35 @@ def frame_roles(spark: SparkSession, frames: dict[str, DataFrame]) -> Roles:
 # ---------------------------------------------------------------------------
 
 
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Natural key of each driver table: used to spread a table that arrives in
+# fewer input splits than the session's parallelism.
+DRIVER_KEYS = {
+    "orders": "o_orderkey",
+    "lineitem": "l_orderkey",
+    "part": "p_partkey",
+    "customer": "c_custkey",
+    "supplier": "s_suppkey",
+}
+
+
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table.
+
+    A file written as a single row group is one input split, so everything
+    up to the first shuffle would run in one task.  When a table yields fewer
+    splits than ``spark.sql.shuffle.partitions``, it is hash-partitioned on its
+    natural key into that many partitions; the later aggregations and joins on
+    that key then reuse the partitioning instead of shuffling again.  Tables
+    that already arrive in many splits (any real cluster layout) are read as
+    they are.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = DRIVER_KEYS.get(name)
+    if spread and key is not None:
+        target = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target, key)
+    return df
 
 
 def _day(c: Column) -> Column:
