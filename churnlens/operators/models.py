@@ -105,12 +105,24 @@ def logit_wald(
     model = Pipeline(stages=[*stages, glr]).fit(_labelled(train, label))
     fitted = model.stages[-1]
     s = fitted.summary
-    ses, pvals = list(s.coefficientStandardErrors), list(s.pValues)
+    k = len(features) + 1
+    try:
+        ses, pvals = [float(v) for v in s.coefficientStandardErrors], [float(v) for v in s.pValues]
+    except Exception:
+        # singular information matrix (collinear features): MLlib fits with
+        # L-BFGS and has no standard errors; report them as unknown
+        ses, pvals = [None] * k, [None] * k
+
+    def label(p):
+        if p is None:
+            return None
+        return "Sim (p < 0.05)" if p < 0.05 else "Não (Irrelevante)"
+
     rows = [
-        (name, float(coef), float(ses[i]), float(pvals[i]), "Sim (p < 0.05)" if pvals[i] < 0.05 else "Não (Irrelevante)")
+        (name, float(coef), ses[i], pvals[i], label(pvals[i]))
         for i, (name, coef) in enumerate(zip(features, fitted.coefficients))
     ]
-    rows.append(("const", float(fitted.intercept), float(ses[-1]), float(pvals[-1]), "Sim (p < 0.05)" if pvals[-1] < 0.05 else "Não (Irrelevante)"))
+    rows.append(("const", float(fitted.intercept), ses[-1], pvals[-1], label(pvals[-1])))
     schema = T.StructType(
         [
             T.StructField("feature", T.StringType()),

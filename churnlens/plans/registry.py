@@ -91,3 +91,4 @@ def q_customer_product_features_active(spark, sf_dir):
 # single-operator queries register themselves on import
 from churnlens.plans import catalog  # noqa: E402,F401
 from churnlens.plans import catalog_analytics  # noqa: E402,F401
+from churnlens.plans import catalog_models  # noqa: E402,F401

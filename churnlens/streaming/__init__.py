@@ -1,0 +1,28 @@
+"""Scoring of a streaming DataFrame.
+
+The reference scores in batch only.  The same scoring transform (R1) applies
+unchanged to a streaming DataFrame of feature rows, and each micro-batch can
+be written to the dated report (S4) with ``foreachBatch``; no new operator is
+involved.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from churnlens.operators import scoring
+from churnlens.sources import report
+
+
+def score_stream(features_stream: DataFrame, model, features=None) -> DataFrame:
+    """R1 on a streaming DataFrame (a fitted pipeline or a linear scorer)."""
+    return scoring.batch_score(features_stream, model, features)
+
+
+def write_scores(scored_stream: DataFrame, base_path: str, run_date: str, checkpoint: str):
+    """Start a query writing every micro-batch into the ``run_date`` report partition."""
+
+    def sink(batch: DataFrame, _epoch: int) -> None:
+        report.write_report(batch, base_path, run_date, mode="append")
+
+    return scored_stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).start()
