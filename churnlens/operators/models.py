@@ -241,6 +241,7 @@ def random_search(
     parallelism: int = 4,
     ratio: float | None = None,
     label: str = LABEL,
+    space: Mapping[str, tuple] | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
     """M8 (``kind='rf'``, accuracy) / M10 (``kind='gbt'``, F1 of class 1):
     seeded random search with k-fold cross-validation; the best candidate is
@@ -250,18 +251,19 @@ def random_search(
     data = fold_column(_labelled(train, label), folds, seed)
     if kind == "rf":
         est = RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, checkpointInterval=10)
-        space, evaluator = RF_SPACE, MulticlassClassificationEvaluator(metricName="accuracy")
+        space, evaluator = space or RF_SPACE, MulticlassClassificationEvaluator(metricName="accuracy")
     else:
         data = with_class_weight(data, ratio if ratio is not None else class_weight_ratio(train, label))
         est = GBTClassifier(featuresCol="features", labelCol="label", weightCol=WEIGHT, seed=seed, checkpointInterval=10)
-        space = GBT_SPACE
+        space = space or GBT_SPACE
         evaluator = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
     draws = draw_params(space, n_iter, seed)
     maps = [{getattr(est, k): v for k, v in d.items()} for d in draws]
     pipe = Pipeline(stages=[assembler(features), est])
     # parameters of the last stage, addressed through the pipeline
     cv = CrossValidator(
-        estimator=est, estimatorParamMaps=maps, evaluator=evaluator, foldCol="fold", parallelism=parallelism, seed=seed
+        estimator=est, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="fold",
+        parallelism=parallelism, seed=seed,
     )
     assembled = assembler(features).transform(data)
     cv_model = cv.fit(assembled)

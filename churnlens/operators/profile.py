@@ -116,11 +116,16 @@ def corr_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     cols = [F.col(c).cast("double").alias(c) for c in features]
     vec = VectorAssembler(inputCols=list(features), outputCol="_v", handleInvalid="keep").transform(df.select(*cols))
     m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
+    # MLlib puts 1 on the diagonal even for a constant column; pandas gives NaN
+    sd = df.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in features]).first()
+    varying = [sd[c] is not None and sd[c] > 0 for c in features]
     rows = []
     for i, x in enumerate(features):
         for j, y in enumerate(features):
             v = float(m[i, j])
-            rows.append((x, y, i, j, None if math.isnan(v) else v))
+            if not (varying[i] and varying[j]) or math.isnan(v):
+                v = None
+            rows.append((x, y, i, j, v))
     schema = "x string, y string, pos_x int, pos_y int, value double"
     return df.sparkSession.createDataFrame(rows, schema)
 

@@ -86,9 +86,3 @@ def q_customer_product_features(spark, sf_dir):
 @register("customer_product_features_active", oracle.customer_product_features_sql(R, active_only=True))
 def q_customer_product_features_active(spark, sf_dir):
     return rounded(customer_product.customer_product_features(roles(spark, sf_dir), R, active_only=True))
-
-
-# single-operator queries register themselves on import
-from churnlens.plans import catalog  # noqa: E402,F401
-from churnlens.plans import catalog_analytics  # noqa: E402,F401
-from churnlens.plans import catalog_models  # noqa: E402,F401
