@@ -172,3 +172,11 @@ def q_read_report(spark, sf_dir):
     base = scratch_path(spark, f"reports/risk-{uuid.uuid4().hex}")
     report_source.write_report(report_spark(spark, sf_dir), base, "2001-12-31")
     return report_source.read_report(spark, base, "2001-12-31").drop("run_date")
+
+
+@register("tree_attribution")
+def q_tree_attribution(spark, sf_dir):
+    train, test, kept = _train_test(spark, sf_dir)
+    ratio = models.class_weight_ratio(r4(spark, sf_dir))
+    model = models.gradient_boosting(train, kept, ratio)
+    return explain.tree_attribution(test, model, kept, scratch_path(spark, "ensembles"))

@@ -116,14 +116,12 @@ def frame_roles(spark: SparkSession, frames: dict[str, DataFrame]) -> Roles:
 # ---------------------------------------------------------------------------
 
 
-# Natural key of each driver table: used to spread a table that arrives in
-# fewer input splits than the session's parallelism.
+# Natural key of the driver's fact tables: used to spread a fact table that
+# arrives in fewer input splits than the session's parallelism.  Dimension
+# tables are left alone (they are small and usually broadcast).
 DRIVER_KEYS = {
     "orders": "o_orderkey",
     "lineitem": "l_orderkey",
-    "part": "p_partkey",
-    "customer": "c_custkey",
-    "supplier": "s_suppkey",
 }
 
 
