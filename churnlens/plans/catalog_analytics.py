@@ -20,6 +20,7 @@ from churnlens.plans import customer, oracle
 from churnlens.plans.catalog import PATTERNS, R4_SQL_INNER, R4_WITH
 from churnlens.plans.registry import R, register, roles, rounded
 from churnlens.rules import RISK_EDGES, RISK_LABELS
+from churnlens.session import materialize
 
 W = oracle.with_roles
 FEATS = [c for c in features.BASE_OUTPUT if c not in ("cod_cliente", "churn")]
@@ -43,6 +44,13 @@ def r5(spark, sf_dir):
     return customer.customer_features(roles(spark, sf_dir), R, active_only=True, ordered=False)
 
 
+def r4_checkpointed(spark, sf_dir):
+    """R4 written once to the shared checkpoint folder, for operators that
+    read the feature table more than once (split, outliers, histograms, KDE,
+    correlation, selection)."""
+    return materialize(r4(spark, sf_dir))
+
+
 R4_CTE = f"r4 AS (SELECT * FROM ({R4_SQL_INNER}) q WHERE media_dias_exec > 0)"
 R5_CTE = f"r5 AS (SELECT * FROM ({R4_SQL_INNER}) q WHERE media_dias_exec > 0 AND churn = 0)"
 
@@ -79,7 +87,7 @@ def split_ctes(src: str) -> tuple[str, ...]:
 
 
 def split_spark(spark, sf_dir):
-    return prepare.stratified_split(r4(spark, sf_dir), TEST_SHARE, SEED)
+    return prepare.stratified_split(r4_checkpointed(spark, sf_dir), TEST_SHARE, SEED)
 
 
 def scorer_sql(s: scoring.LinearScorer) -> str:
@@ -94,9 +102,11 @@ def demo_scorer(s: scoring.LinearScorer = scoring.DEMO_SCORER) -> scoring.Linear
 
 
 def eval_frame_spark(spark, sf_dir, s=scoring.DEMO_SCORER):
+    """Scored test rows ``(cod_cliente, y, p)``, checkpointed once: the curve
+    and metric operators run several small jobs over them."""
     test = split_spark(spark, sf_dir).where(F.col("is_test") == 1)
     scored = scoring.batch_score(test, demo_scorer(s))
-    return E.scored_frame(scored, "churn", scoring.RISK, key=["cod_cliente"])
+    return materialize(E.scored_frame(scored, "churn", scoring.RISK, key=["cod_cliente"]))
 
 
 def eval_ctes(s=scoring.DEMO_SCORER, name: str = "ev") -> tuple[str, ...]:
@@ -213,7 +223,7 @@ CORR = corr_sql_ctes()
 
 
 def _corr(spark, sf_dir):
-    return profile.corr_matrix(r4(spark, sf_dir), FEATS)
+    return profile.corr_matrix(r4_checkpointed(spark, sf_dir), FEATS)
 
 
 @register("corr_matrix", W(*R4_WITH, *CORR, select="SELECT * FROM cm"))
@@ -275,7 +285,7 @@ def q_distinct_count_gate(spark, sf_dir):
     ),
 )
 def q_iqr_outliers(spark, sf_dir):
-    return rounded(profile.iqr_outliers(r4(spark, sf_dir), FEATS))
+    return rounded(profile.iqr_outliers(r4_checkpointed(spark, sf_dir), FEATS))
 
 
 @register(
@@ -294,7 +304,7 @@ def q_iqr_outliers(spark, sf_dir):
     ),
 )
 def q_histogram_density(spark, sf_dir):
-    return rounded(profile.histogram_density(r4(spark, sf_dir), FEATS))
+    return rounded(profile.histogram_density(r4_checkpointed(spark, sf_dir), FEATS))
 
 
 @register(
@@ -314,7 +324,7 @@ def q_histogram_density(spark, sf_dir):
     ),
 )
 def q_kde_peak(spark, sf_dir):
-    return rounded(profile.kde_peak(r4(spark, sf_dir)))
+    return rounded(profile.kde_peak(r4_checkpointed(spark, sf_dir)))
 
 
 @register(
@@ -333,7 +343,7 @@ def q_kde_peak(spark, sf_dir):
     ),
 )
 def q_feature_selection(spark, sf_dir):
-    return rounded(profile.feature_selection(r4(spark, sf_dir), FEATS))
+    return rounded(profile.feature_selection(r4_checkpointed(spark, sf_dir), FEATS))
 
 
 # =========================================================================== preparation

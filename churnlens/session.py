@@ -63,8 +63,15 @@ def materialize(df: DataFrame) -> DataFrame:
     Used before iterative work (profiling passes, model fits) so that a lost
     executor recomputes from the checkpoint, not from the raw tables.
     """
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persisted while the checkpoint is written, so the plan runs once (an
+    # eager reliable checkpoint would otherwise compute it twice)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -129,8 +129,8 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool
     """Read one driver table.
 
     A file written as a single row group is one input split, so everything
-    up to the first shuffle would run in one task.  When a table yields fewer
-    splits than ``spark.sql.shuffle.partitions``, it is hash-partitioned on its
+    up to the first shuffle would run in one task.  When a fact table comes in
+    fewer files than ``spark.sql.shuffle.partitions``, it is hash-partitioned on its
     natural key into that many partitions; the later aggregations and joins on
     that key then reuse the partitioning instead of shuffling again.  Tables
     that already arrive in many splits (any real cluster layout) are read as
@@ -140,7 +140,8 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool
     key = DRIVER_KEYS.get(name)
     if spread and key is not None:
         target = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        if df.rdd.getNumPartitions() < target:
+        # file count from the (cached) file listing: no scan planning needed
+        if len(df.inputFiles()) < target:
             df = df.repartition(target, key)
     return df
 
