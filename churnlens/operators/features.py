@@ -115,13 +115,27 @@ _AVG_NAME = {
 
 
 def zero(c: str) -> Column:
-    """F9 ``COALESCE(metric, 0)`` for customers without tasks."""
-    return F.coalesce(F.col(c), F.lit(0)).alias(c)
+    """F9 ``COALESCE(metric, 0)`` for customers without tasks.
+
+    Built from SQL text: one expression per column instead of one JVM call
+    per sub-expression (the projections have dozens of columns)."""
+    return F.expr(f"coalesce({c}, 0) AS {c}")
+
+
+def zero_double(c: str) -> Column:
+    """F9 for averages: ``COALESCE(avg, 0)`` as double."""
+    return F.expr(f"coalesce({c}, 0.0D) AS {c}")
+
+
+def share_sql(n: str, total: str = "qt_tarefas_total") -> str:
+    """A13 ``COALESCE((n * 1.0 / total) * 100, 0)`` in doubles (same operations
+    as ``functions.percent``)."""
+    return f"coalesce(try_divide(CAST({n} AS DOUBLE), CAST({total} AS DOUBLE)) * 100.0D, 0.0D)"
 
 
 def share(n: str, total: str = "qt_tarefas_total") -> Column:
     """A13 ``COALESCE((n * 1.0 / total) * 100, 0)``."""
-    return F.coalesce(X.percent(n, total), F.lit(0.0))
+    return F.expr(share_sql(n, total))
 
 
 def customer_lifetime_months(rules: Rules) -> Column:
@@ -134,23 +148,24 @@ def customer_lifetime_months(rules: Rules) -> Column:
 def base_projection(joined: DataFrame, rules: Rules) -> DataFrame:
     """F9/A13 final projection of the base query (29 columns, in order)."""
     cols = [
-        F.col("cod_cliente"),
-        F.col("valor_contrato").alias("valor_medio_contrato"),
-        customer_lifetime_months(rules).alias("meses_vida_cliente"),
-        zero("qt_tarefas_total"),
-        F.coalesce(F.col("media_dias_exec"), F.lit(0.0)).alias("media_dias_exec"),
+        "cod_cliente",
+        "valor_contrato AS valor_medio_contrato",
+        None,  # months: built from the column helpers below
+        "coalesce(qt_tarefas_total, 0) AS qt_tarefas_total",
+        "coalesce(media_dias_exec, 0.0D) AS media_dias_exec",
     ]
     for g in GROUP_SETS:
         n = f"qt_tarefas_{g}"
         cols += [
-            zero(n),
-            F.coalesce(F.col(_AVG_NAME[g]), F.lit(0.0)).alias(_AVG_NAME[g]),
-            share(n).alias(f"perc_qt_tarefas_{g}"),
+            f"coalesce({n}, 0) AS {n}",
+            f"coalesce({_AVG_NAME[g]}, 0.0D) AS {_AVG_NAME[g]}",
+            f"{share_sql(n)} AS perc_qt_tarefas_{g}",
         ]
-    cols += [zero(dst) for _, dst in DISTINCT_COLUMNS]
-    cols += [share(f"qt_prioridade_{name}").alias(f"perc_qt_prioridade_{name}") for name, _ in PRIORITY_BUCKETS]
-    cols.append(F.col("churn"))
-    return joined.select(*cols)
+    cols += [f"coalesce({dst}, 0) AS {dst}" for _, dst in DISTINCT_COLUMNS]
+    cols += [f"{share_sql('qt_prioridade_' + name)} AS perc_qt_prioridade_{name}" for name, _ in PRIORITY_BUCKETS]
+    cols.append("churn")
+    exprs = [F.expr(c) if c is not None else customer_lifetime_months(rules).alias("meses_vida_cliente") for c in cols]
+    return joined.select(*exprs)
 
 
 def join_customer_features(customers: DataFrame, features: DataFrame) -> DataFrame:
@@ -235,9 +250,9 @@ def product_projection(joined: DataFrame, rules: Rules, with_last_value: bool =
     ]
     if with_last_value:
         cols.append(F.col("dias_exec_tarefa"))
-    cols += [zero("qt_tarefas_total"), F.coalesce(F.col("media_dias_exec"), F.lit(0.0)).alias("media_dias_exec")]
+    cols += [zero("qt_tarefas_total"), zero_double("media_dias_exec")]
     for g in GROUP_SETS:
-        cols += [zero(f"qt_tarefas_{g}"), F.coalesce(F.col(_AVG_NAME[g]), F.lit(0.0)).alias(_AVG_NAME[g])]
+        cols += [zero(f"qt_tarefas_{g}"), zero_double(_AVG_NAME[g])]
     cols.append(recency.alias("dias_ultima_tarefa"))
     cols += [zero(dst) for _, dst in DISTINCT_COLUMNS]
     cols += [zero(f"qt_prioridade_{name}") for name, _ in PRIORITY_BUCKETS]
