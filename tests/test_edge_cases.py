@@ -274,3 +274,14 @@ def test_best_f1_ignores_zero_over_zero(spark):
     b = E.best_f1_threshold(df).first()
     assert b["threshold"] == 0.4 and b["f1"] == pytest.approx(2 * (2 / 3) * 1 / (2 / 3 + 1))
     assert not math.isnan(b["f1"])
+
+
+def test_single_customer_parameter(make_roles):
+    """The optional customer parameter restricts the customer table; tasks of
+    other customers never reach the output."""
+    roles = _one_customer_roles(
+        make_roles, [task(5, 540, "2023-01-01", "2023-01-04"), task(6, 541, "2023-01-01", "2023-01-09")]
+    )
+    both = {r["cod_cliente"] for r in customer.customer_features(roles, R).collect()}
+    one = customer.customer_features(roles, R, customer_id=6).collect()
+    assert both == {5, 6} and [r["cod_cliente"] for r in one] == [6] and one[0]["media_dias_exec"] == 8.0
