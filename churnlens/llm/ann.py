@@ -199,8 +199,8 @@ def nearest(
     n, top = index.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
     lists = 1 if n <= SINGLE else min(CENTROIDS, round(n**0.5))
     if lists > 1:
-        sample = index.orderBy(F.xxhash64("point"), "point").limit(SAMPLE).select("v").collect()
-        graph = Graph(balanced_centroids(lifted(np.array([r["v"] for r in sample]), top), lists))
+        sample = index.orderBy(F.xxhash64("point"), "point").limit(SAMPLE).select("v").toArrow()
+        graph = Graph(balanced_centroids(lifted(matrix(sample.column("v")), top), lists))
     else:
         graph = Graph(np.zeros((1, 1)))
     sent = spark.sparkContext.broadcast(graph)
