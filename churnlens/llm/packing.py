@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import slices, stored, words
 
 #: Distinct words that a worker's memo holds at most, and their ids.
-MEMO, MEMO_IDS = 500_000, 4_000_000
+MEMO, MEMO_IDS = 1_600_000, 16_000_000
 RANK_BUCKETS = 256
 
 
