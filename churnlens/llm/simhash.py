@@ -5,13 +5,13 @@ XXH64 hashes of the text's word shingles.  Two fingerprints link if they
 differ in at most ``distance`` (4) bits; groups are the connected components.
 
 Candidates come from a table of Hamming distances to reference fingerprints
-(pivots).  The 64 bits are cut into blocks, ``distance + 2`` of them; pivot
+(pivots).  The 64 bits are cut into blocks, ``distance + 3`` of them; pivot
 (b, j) has random bits in block b and zeros elsewhere, and pivot 0 is zero.
 The difference of the distances to pivot (b, j) and to pivot 0 depends on block
-b alone, and two linked fingerprints agree in two whole blocks at least: they
+b alone, and two linked fingerprints agree in three whole blocks at least: they
 have equal distance differences to all pivots of these blocks.  So an equality
-join on the rows of the pivot table, once for each pair of blocks, misses no
-link.  From the joined pairs those are discarded whose distances to any pivot
+join on the rows of the pivot table, once for each three of the blocks, misses
+no link.  From the joined pairs those are discarded whose distances to any pivot
 differ by more than ``distance`` (by the triangle inequality they cannot
 link), and the survivors are verified by their own Hamming distance.
 
@@ -41,7 +41,9 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.common import connected, slices, stored
 
-PIVOTS_PER_BLOCK = 8
+PIVOTS_PER_BLOCK = 12
+#: Blocks beyond ``distance``, which two linked fingerprints have in common at least.
+SPARE = 3
 #: Shingles hashed at a time.
 STEP = 1 << 16
 
@@ -81,8 +83,8 @@ def _signed(x: int) -> int:
 
 
 def pivots(distance: int, per_block: int = PIVOTS_PER_BLOCK, seed: int = 20) -> list[list[int]]:
-    """The pivots of each of the ``distance + 2`` blocks of bits."""
-    blocks = distance + 2
+    """The pivots of each of the ``distance + SPARE`` blocks of bits."""
+    blocks = distance + SPARE
     edges = [64 * b // blocks for b in range(blocks + 1)]
     rng = random.Random(seed)
     return [[rng.getrandbits(hi - lo) << lo for _ in range(per_block)] for lo, hi in itertools.pairwise(edges)]
@@ -93,10 +95,10 @@ def _to(fp: Column, pivot: int) -> Column:
 
 
 def _keys(fp: Column, table: list[list[int]]) -> Column:
-    """For each pair of blocks a hash of the row's pivot distances in them."""
+    """For each choice of ``SPARE`` blocks a hash of the row's pivot distances in them."""
     zero = _to(fp, 0)
     differences = [F.xxhash64(*[_to(fp, p) - zero for p in block]) for block in table]
-    return F.array(*[F.xxhash64(F.lit(k), differences[a], differences[b]) for k, (a, b) in enumerate(itertools.combinations(range(len(table)), 2))])
+    return F.array(*[F.xxhash64(F.lit(k), *chosen) for k, chosen in enumerate(itertools.combinations(differences, SPARE))])
 
 
 def _linked(a: Column, b: Column, table: list[list[int]], distance: int) -> Column:
