@@ -105,29 +105,41 @@ def zero_inflation(df: DataFrame, features: Sequence[str], limit: float = 0.8) -
 def corr_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """A22 Pearson matrix in long form ``(x, y, pos_x, pos_y, value)``.
 
-    MLlib's ``Correlation`` aggregates the Gramian of the assembled feature
-    vector in one distributed pass (tree aggregate of k x k partial sums);
-    only the k x k result reaches the driver.  A constant column gives NULL
-    (pandas gives NaN) instead of a division error.
+    Each pair is correlated over the rows where both values are there, as
+    pandas does.  One pass: every task adds up the pairwise sums of its rows
+    (k x k numbers, whatever its rows), Spark adds these up.  Sums are taken
+    about a rough centre, the values of one row, so that large offsets cost no
+    digits.  A constant column gives NULL.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    cols = [F.col(c).cast("double").alias(c) for c in features]
-    vec = VectorAssembler(inputCols=list(features), outputCol="_v", handleInvalid="keep").transform(df.select(*cols))
-    m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
-    # MLlib puts 1 on the diagonal even for a constant column; pandas gives NaN
-    sd = df.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in features]).first()
-    varying = [sd[c] is not None and sd[c] > 0 for c in features]
-    rows = []
-    for i, x in enumerate(features):
-        for j, y in enumerate(features):
-            v = float(m[i, j])
-            if not (varying[i] and varying[j]) or math.isnan(v):
-                v = None
-            rows.append((x, y, i, j, v))
-    schema = "x string, y string, pos_x int, pos_y int, value double"
-    return df.sparkSession.createDataFrame(rows, schema)
+    import numpy as np
+    import pyarrow as pa
+
+    names, k = list(features), len(features)
+    frame = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    centre = frame.agg(*[F.any_value(c, F.lit(True)) for c in frame.columns]).first()
+    centre = np.array([0.0 if v is None or math.isnan(v) else v for v in centre])
+
+    def sums(batches):
+        total = np.zeros((6, k, k))
+        for b in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1).astype(float) - centre
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            total += np.stack([there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x])
+        i, j = np.divmod(np.arange(k * k), k)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *(pa.array(t.ravel()) for t in total)], ["pos_x", "pos_y", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    parts = frame.mapInArrow(sums, "pos_x long, pos_y long, n double, sx double, sy double, sxx double, syy double, sxy double")
+    s = parts.groupBy("pos_x", "pos_y").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    spread = lambda square, one: F.col(square) - F.col(one) * F.col(one) / F.col("n")
+    vx, vy = spread("sxx", "sx"), spread("syy", "sy")
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    # what rounding leaves of a constant's spread counts as none
+    varies = (F.col("n") > 1) & (vx > F.col("sxx") * 1e-13) & (vy > F.col("syy") * 1e-13)
+    value = F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / F.sqrt(vx * vy))))
+    value = F.when(varies & (F.col("pos_x") == F.col("pos_y")), F.lit(1.0)).otherwise(value)
+    name = lambda c: F.element_at(F.array(*[F.lit(n) for n in names]), F.col(c).cast("int") + 1)
+    return s.select(name("pos_x").alias("x"), name("pos_y").alias("y"), F.col("pos_x").cast("int").alias("pos_x"), F.col("pos_y").cast("int").alias("pos_y"), value.alias("value"))
 
 
 def corr_drop_list(corr: DataFrame, threshold: float = 0.75) -> DataFrame:

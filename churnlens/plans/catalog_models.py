@@ -75,7 +75,7 @@ def q_feature_importance(spark, sf_dir):
 @register("gradient_boosting")
 def q_gradient_boosting(spark, sf_dir):
     train, test, kept = _train_test(spark, sf_dir)
-    ratio = models.class_weight_ratio(r4(spark, sf_dir))  # whole target, as the reference
+    ratio = models.class_weight_ratio(train.unionByName(test))  # whole target, as the reference
     model = models.gradient_boosting(train, kept, ratio)
     return models.predict_proba(model, test)
 
@@ -177,7 +177,7 @@ def q_read_report(spark, sf_dir):
 @register("tree_attribution")
 def q_tree_attribution(spark, sf_dir):
     train, test, kept = _train_test(spark, sf_dir)
-    ratio = models.class_weight_ratio(r4(spark, sf_dir))
+    ratio = models.class_weight_ratio(train.unionByName(test))
     # 20 boosting rounds in the registered form (library default 100) to keep the gate short
     model = models.gradient_boosting(train, kept, ratio, max_iter=20)
     return explain.tree_attribution(test, model, kept, scratch_path(spark, "ensembles"))
@@ -187,7 +187,7 @@ def q_tree_attribution(spark, sf_dir):
 def q_gbt_random_search(spark, sf_dir):
     # registered with 1 draw x 2 folds of the reference's boosting space (F1 of
     # class 1); the library default is 50 x 5
-    train, _, kept = _train_test(spark, sf_dir)
-    ratio = models.class_weight_ratio(r4(spark, sf_dir))
+    train, test, kept = _train_test(spark, sf_dir)
+    ratio = models.class_weight_ratio(train.unionByName(test))
     _, table = models.random_search(train, kept, "gbt", n_iter=1, folds=2, ratio=ratio)
     return table

@@ -29,7 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("CHURNLENS_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("CHURNLENS_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -39,7 +39,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Falls back to a fresh local folder only when the session names none (tests).
+    A fresh local folder is made only when the session names none and runs in
+    one process (``local[...]``, as in tests); elsewhere that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -47,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir names no folder that the executors share")
     return tempfile.mkdtemp(prefix="churnlens-ckpt-")
 
 

@@ -116,34 +116,10 @@ def frame_roles(spark: SparkSession, frames: dict[str, DataFrame]) -> Roles:
 # ---------------------------------------------------------------------------
 
 
-# Natural key of the driver's fact tables: used to spread a fact table that
-# arrives in fewer input splits than the session's parallelism.  Dimension
-# tables are left alone (they are small and usually broadcast).
-DRIVER_KEYS = {
-    "orders": "o_orderkey",
-    "lineitem": "l_orderkey",
-}
-
-
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one driver table.
-
-    A file written as a single row group is one input split, so everything
-    up to the first shuffle would run in one task.  When a fact table comes in
-    fewer files than ``spark.sql.shuffle.partitions``, it is hash-partitioned on its
-    natural key into that many partitions; the later aggregations and joins on
-    that key then reuse the partitioning instead of shuffling again.  Tables
-    that already arrive in many splits (any real cluster layout) are read as
-    they are.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = DRIVER_KEYS.get(name)
-    if spread and key is not None:
-        target = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        # file count from the (cached) file listing: no scan planning needed
-        if len(df.inputFiles()) < target:
-            df = df.repartition(target, key)
-    return df
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables, read as it lies; split sizes are the session's
+    ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _day(c: Column) -> Column:
