@@ -98,7 +98,10 @@ def _keys(fp: Column, table: list[list[int]]) -> Column:
     """For each choice of ``SPARE`` blocks a hash of the row's pivot distances in them."""
     zero = _to(fp, 0)
     differences = [F.xxhash64(*[_to(fp, p) - zero for p in block]) for block in table]
-    return F.array(*[F.xxhash64(F.lit(k), *chosen) for k, chosen in enumerate(itertools.combinations(differences, SPARE))])
+    choices = list(itertools.combinations(range(len(table)), SPARE))
+    # bound as a lambda variable: computed once, and the plan holds it once
+    keys = F.transform(F.array(F.array(*differences)), lambda d: F.array(*[F.xxhash64(F.lit(k), *[d[i] for i in chosen]) for k, chosen in enumerate(choices)]))
+    return F.get(keys, F.lit(0))
 
 
 def _linked(a: Column, b: Column, table: list[list[int]], distance: int) -> Column:
