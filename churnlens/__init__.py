@@ -9,4 +9,4 @@ plans/      the composed feature queries and the registry of named queries
 streaming/  the scoring transform applied to a streaming DataFrame
 """
 
-from churnlens.rules import Rules, DRIVER_RULES, REFERENCE_RULES  # noqa: F401
+from churnlens.rules import Rules, DRIVER_RULES, reference_rules  # noqa: F401

@@ -21,20 +21,24 @@ size; XGBoost's gamma maps to ``minInfoGain``.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+from pyspark.errors import UnsupportedOperationException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens import functions as X
+from churnlens.operators import prepare, profile
 
 LABEL = "churn"
 KEY = "cod_cliente"
@@ -69,10 +73,21 @@ def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler
 
 
 def fold_column(df: DataFrame, folds: int, seed: int = 42, key: str = KEY, label: str = LABEL, out: str = "fold") -> DataFrame:
-    """Fold id by hashing (key, class, seed): no window over the data, folds
-    disjoint and covering; class shares per fold are balanced in expectation."""
-    h = F.xxhash64(F.col(key), F.col(label), F.lit(seed))
-    return df.withColumn(out, F.pmod(h, F.lit(folds)).cast("int"))
+    """Stratified fold id: rows of a class are ordered by a seeded hash and dealt
+    in turn, so the folds of a class differ by at most one row.
+
+    As in the split (M1) no window spans a class: the rows before a hash bucket
+    come from the bucket counts (at most 65,536 for each class, so broadcast),
+    and a row number is taken inside a bucket only.
+    """
+    h = prepare.hash_order(key, seed)
+    rows = df.withColumn("_h", h).withColumn("_b", prepare.hash_bucket("_h"))
+    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    buckets = buckets.select(F.col(label).alias("_c"), "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    dealt = rows.join(F.broadcast(buckets.withColumnRenamed("_b", "_b2")), F.col(label).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_b2")))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key)) - 1
+    return dealt.select(*df.columns, F.pmod(place, F.lit(folds)).cast("int").alias(out))
 
 
 def _labelled(df: DataFrame, label: str) -> DataFrame:
@@ -82,6 +97,54 @@ def _labelled(df: DataFrame, label: str) -> DataFrame:
 # --------------------------------------------------------------------------- M5/M6
 
 
+#: A feature of which the kept ones before it leave less than this share of its variance is collinear.
+COLLINEAR = 1e-6
+COLLINEAR_TEXT = "Removida (colinear)"
+
+
+def independent_features(df: DataFrame, features: Sequence[str], tolerance: float = COLLINEAR) -> list[str]:
+    """The features, in their order, that the ones kept before them do not
+    determine; constants go too.  One pass over the rows (the correlation
+    matrix, k x k numbers), then elimination on the driver."""
+    k = len(features)
+    r = np.zeros((k, k))
+    for row in profile.corr_matrix(df, features).collect():
+        r[row["pos_x"], row["pos_y"]] = row["value"] or 0.0
+    kept: list[int] = []
+    for j in range(k):
+        left = r[j, j]
+        if kept:
+            own = r[kept, j]
+            left -= own @ np.linalg.solve(r[np.ix_(kept, kept)], own)
+        if left > tolerance:
+            kept.append(j)
+    return [features[j] for j in kept]
+
+
+def _constant_only(train: DataFrame, label: str) -> tuple[float, float, float]:
+    """Coefficient, standard error and p-value of the model without features."""
+    n, pos = train.agg(F.count(label), F.sum(label)).first()
+    b, se = math.log(pos / (n - pos)), math.sqrt(n / (pos * (n - pos)))
+    return b, se, math.erfc(abs(b / se) / math.sqrt(2.0))
+
+
+def drop_insignificant(train: DataFrame, features: Sequence[str], label: str = LABEL, alpha: float = 0.05) -> DataFrame:
+    """M6 the coefficient table after a refit on the features whose p-value is
+    at most ``alpha``; where there is none, the constant alone."""
+    _, table = logit_wald(train, features, label)
+    kept = significant_features(table, alpha)
+    if kept:
+        return logit_wald(train, kept, label)[1]
+    b, se, p = _constant_only(train, label)
+    return train.sparkSession.createDataFrame([("const", b, se, p, _significance(p))], table.schema)
+
+
+def _significance(p: float | None) -> str | None:
+    if p is None:
+        return None
+    return "Sim (p < 0.05)" if p < 0.05 else "Não (Irrelevante)"
+
+
 def logit_wald(
     train: DataFrame,
     features: Sequence[str],
@@ -94,8 +157,13 @@ def logit_wald(
 
     With ``scale`` a min-max scaler is fitted on the training rows first, as
     the reference does.  The table has one row per feature (bounded), built
-    from the fitted model's summary.
+    from the fitted model's summary.  Features that others determine are left
+    out of the fit, so that the rest have standard errors; their rows have no
+    coefficient and say so.
     """
+    named, features = list(features), independent_features(train, features)
+    if not features:
+        raise ValueError("every feature is constant")
     stages = [assembler(features, "raw" if scale else "features")]
     if scale:
         stages.append(MinMaxScaler(inputCol="raw", outputCol="features"))
@@ -108,21 +176,19 @@ def logit_wald(
     k = len(features) + 1
     try:
         ses, pvals = [float(v) for v in s.coefficientStandardErrors], [float(v) for v in s.pValues]
-    except Exception:
-        # singular information matrix (collinear features): MLlib fits with
-        # L-BFGS and has no standard errors; report them as unknown
+    except UnsupportedOperationException:
+        # the weights of the last step left a singular information matrix (classes
+        # that the features separate): there are no standard errors to report
         ses, pvals = [None] * k, [None] * k
 
-    def label(p):
-        if p is None:
-            return None
-        return "Sim (p < 0.05)" if p < 0.05 else "Não (Irrelevante)"
-
+    place = {name: i for i, name in enumerate(features)}
     rows = [
-        (name, float(coef), ses[i], pvals[i], label(pvals[i]))
-        for i, (name, coef) in enumerate(zip(features, fitted.coefficients))
+        (name, float(fitted.coefficients[place[name]]), ses[place[name]], pvals[place[name]], _significance(pvals[place[name]]))
+        if name in place
+        else (name, None, None, None, COLLINEAR_TEXT)
+        for name in named
     ]
-    rows.append(("const", float(fitted.intercept), ses[-1], pvals[-1], label(pvals[-1])))
+    rows.append(("const", float(fitted.intercept), ses[-1], pvals[-1], _significance(pvals[-1])))
     schema = T.StructType(
         [
             T.StructField("feature", T.StringType()),

@@ -62,10 +62,14 @@ def label_split(df: DataFrame, label_value: int, label: str = LABEL) -> DataFram
 BUCKET_HEX = 4  # 16**4 = 65,536 buckets
 
 
-def _hash(key: str, seed: int) -> Column:
+def hash_order(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
 
 
+def hash_bucket(hashed: str) -> Column:
+    return F.conv(F.substring(hashed, 1, BUCKET_HEX), 16, 10).cast("int")
+
+
 def class_test_counts(df: DataFrame, test_share: float, label: str = LABEL) -> DataFrame:
     """Test rows per class: ``ceil(share * n)`` in total, shared out like
     scikit-learn's stratified split (floor of the class share, remaining rows
@@ -95,8 +99,7 @@ def stratified_split(
 
     Deterministic for a given seed; class shares are kept as in scikit-learn.
     """
-    h = _hash(key, seed)
-    rows = df.withColumn("_h", h).withColumn("_b", F.conv(F.substring("_h", 1, BUCKET_HEX), 16, 10).cast("int"))
+    rows = df.withColumn("_h", hash_order(key, seed)).withColumn("_b", hash_bucket("_h"))
     k = class_test_counts(df, test_share, label)
     buckets = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

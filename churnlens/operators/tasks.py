@@ -7,8 +7,8 @@ re-shuffling them for lookups:
   "bug" text), so it is reduced to a small *flag table* holding only the
   categories that match either text (one row per code) before the join; AQE
   can then broadcast it instead of shuffling the tasks by category;
-* the history lookup is needed only for tasks without an end date, so only
-  that subset meets the per-task history aggregate;
+* the history lookup is needed only for tasks without an end date: the others
+  carry a key that no history row has, in the same pass over the tasks;
 * all filters sit before the joins and reach the scan when the role is a table.
 
 The plain lookup joins (descriptions, status, user, product) exist as
@@ -62,13 +62,17 @@ def join_task_history(task: DataFrame, task_history: DataFrame) -> DataFrame:
 
 
 def join_history_where_needed(task: DataFrame, task_history: DataFrame) -> DataFrame:
-    """J7, restricted to the tasks that use it: only rows without an end date meet
-    the history aggregate; rows with an end date get a NULL history date."""
-    with_end = task.where(F.col("data_exe").isNotNull()).withColumn(
-        "data_exe_hist", F.lit(None).cast("date")
-    )
-    without_end = join_task_history(task.where(F.col("data_exe").isNull()), task_history)
-    return with_end.unionByName(without_end)
+    """J7, restricted to the tasks that use it: rows with an end date get a NULL
+    history date.
+
+    One pass over the tasks: the key holds whether the end date is missing, which
+    is true on the history side, so a task with an end date meets nothing, and its
+    number beside it keeps such tasks from meeting in one partition.
+    """
+    latest = latest_history(task_history.where(F.col("nros").isNotNull()))
+    latest = latest.select(F.struct(F.lit(True).alias("missing"), F.col("nros").alias("nros")).alias("_h"), "data_exe_hist")
+    keyed = task.withColumn("_h", F.struct(F.col("data_exe").isNull().alias("missing"), F.col("nros").alias("nros")))
+    return keyed.join(latest, "_h", "left").drop("_h")
 
 
 def join_user_group(task: DataFrame, user: DataFrame) -> DataFrame:
@@ -172,17 +176,29 @@ TASK_FEATURE_INPUTS = (
 )
 
 
-def customer_tasks(roles: Roles, rules: Rules, history_for_missing_only: bool = True) -> DataFrame:
+def customer_tasks(
+    roles: Roles,
+    rules: Rules,
+    history_for_missing_only: bool = True,
+    customers: DataFrame | None = None,
+    customer_id: int | None = None,
+) -> DataFrame:
     """The base query's task CTE, one row per kept main task.
 
     Columns: cod_cliente, dias_exec_tarefa and the five conditional durations,
     categoria, subcategoria, prioridade, grupo_trabalho, is_bug.  Tasks are not
     restricted to known customers here: the features are per customer and the
     later LEFT JOIN from the customer table drops the others (J2 folded into J8).
+    With ``customers`` (``cod_cliente``) or ``customer_id`` the tasks of others
+    go before any lookup.
     """
     t = drop_task_status(main_tasks(roles.task), rules).select(
         "cliente", "nros", "data_cad", "data_exe", "categoria", "subcategoria", "prioridade", "para1"
     )
+    if customer_id is not None:
+        t = t.where(F.col("cliente") == F.lit(customer_id))
+    if customers is not None:
+        t = t.join(customers.select(F.col("cod_cliente").alias("cliente")), "cliente", "left_semi")
     t = with_category_flags(t, roles.category, rules).where(~F.col("is_excluded_text"))
     if history_for_missing_only:
         t = join_history_where_needed(t, roles.task_history)

@@ -53,10 +53,7 @@ def q_logit_wald(spark, sf_dir):
 @register("drop_insignificant")
 def q_drop_insignificant(spark, sf_dir):
     train, _, kept = _train_test(spark, sf_dir)
-    _, table = models.logit_wald(train, kept)
-    significant = models.significant_features(table) or kept
-    _, reduced = models.logit_wald(train, significant)
-    return reduced
+    return models.drop_insignificant(train, kept)
 
 
 @register("random_forest")

@@ -34,14 +34,15 @@ def customer_features(
     """The base feature query: 29 columns, one row per customer with positive
     average task duration, ordered by that average (T1).
 
-    ``active_only`` gives the production form (``churn = 0``, R5), pushed
-    before the join.  ``customer_id`` is the reference's single-customer
-    parameter (S8).
+    ``active_only`` gives the production form (``churn = 0``, R5): only the
+    tasks of active customers are enriched and aggregated.  ``customer_id`` is
+    the single-customer parameter (S8), pushed to contracts and tasks.
     """
     customers = contracts.customer_base(roles, rules, customer_id)
     if active_only:
         customers = customers.where(F.col("churn") == 0)
-    feats = features.customer_task_features(tasks.customer_tasks(roles, rules), rules)
+    own = tasks.customer_tasks(roles, rules, customers=customers if active_only else None, customer_id=customer_id)
+    feats = features.customer_task_features(own, rules)
     out = features.base_projection(features.join_customer_features(customers, feats), rules)
     out = features.having_positive_duration(out, active_only)
     if ordered:

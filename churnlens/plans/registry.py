@@ -70,19 +70,19 @@ def roles(spark: SparkSession, sf_dir: str):
 
 @register("customer_features", oracle.customer_features_sql(R))
 def q_customer_features(spark, sf_dir):
-    return rounded(customer.customer_features(roles(spark, sf_dir), R))
+    return customer.customer_features(roles(spark, sf_dir), R)
 
 
 @register("customer_features_active", oracle.customer_features_sql(R, active_only=True))
 def q_customer_features_active(spark, sf_dir):
-    return rounded(customer.customer_features(roles(spark, sf_dir), R, active_only=True))
+    return customer.customer_features(roles(spark, sf_dir), R, active_only=True)
 
 
 @register("customer_product_features", oracle.customer_product_features_sql(R))
 def q_customer_product_features(spark, sf_dir):
-    return rounded(customer_product.customer_product_features(roles(spark, sf_dir), R))
+    return customer_product.customer_product_features(roles(spark, sf_dir), R)
 
 
 @register("customer_product_features_active", oracle.customer_product_features_sql(R, active_only=True))
 def q_customer_product_features_active(spark, sf_dir):
-    return rounded(customer_product.customer_product_features(roles(spark, sf_dir), R, active_only=True))
+    return customer_product.customer_product_features(roles(spark, sf_dir), R, active_only=True)

@@ -13,7 +13,7 @@ large code set can be a range or any other predicate instead of a huge list.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 
 @dataclass(frozen=True)
@@ -51,37 +51,36 @@ class Rules:
     # main-task product codes kept by the product-group query
     main_product_codes: tuple[int, ...] = field(default=())
 
-    def with_as_of(self, as_of: str) -> "Rules":
-        return replace(self, as_of=as_of)
-
 
 # ---------------------------------------------------------------------------
 # Fixed values of the reference workload (its production code lists and
 # texts).  They must stay as they are for results equal to the reference.
 # ---------------------------------------------------------------------------
-REFERENCE_RULES = Rules(
-    as_of="2026-06-26",
-    status_active=3,
-    status_cancelled=4,
-    excluded_task_status=("CAN", "PGE"),
-    excluded_text="cancel",
-    bug_text="bug",
-    return_text="RETORNO",
-    finished_status=("X", "V"),
-    sd_group="grupo_trabalho IN (3, 29, 64)",
-    hd_group="grupo_trabalho IN (5, 23, 63)",
-    complaint_category="categoria IN (304)",
-    reduction_category="categoria IN (18402, 18441, 18468)",
-    unimportant_category=(
-        "categoria IN (210, 224, 225, 352, 367, 16375, 15693, 17367, 17536, 18327, 21486)"
-    ),
-    user_licence_item="item IN (2, 20, 24, 109, 10022, 139, 50, 10023, 10012, 10095)",
-    excluded_customers=(8433, 27710, 34000, 36363, 36511, 28306, 37187, 36603, 35653, 19620, 43194),
-    product_flag_text="CPJ",
-    product_codes=(("CPJ-3C", 67), ("CPJ-COB", 18)),
-    missing_group_label="NÃO CONSTA",
-    main_product_codes=(18, 67),
-)
+def reference_rules(as_of: str) -> Rules:
+    """The workload's rules as of a day (``YYYY-MM-DD``), which the caller names."""
+    return Rules(
+        as_of=as_of,
+        status_active=3,
+        status_cancelled=4,
+        excluded_task_status=("CAN", "PGE"),
+        excluded_text="cancel",
+        bug_text="bug",
+        return_text="RETORNO",
+        finished_status=("X", "V"),
+        sd_group="grupo_trabalho IN (3, 29, 64)",
+        hd_group="grupo_trabalho IN (5, 23, 63)",
+        complaint_category="categoria IN (304)",
+        reduction_category="categoria IN (18402, 18441, 18468)",
+        unimportant_category=(
+            "categoria IN (210, 224, 225, 352, 367, 16375, 15693, 17367, 17536, 18327, 21486)"
+        ),
+        user_licence_item="item IN (2, 20, 24, 109, 10022, 139, 50, 10023, 10012, 10095)",
+        excluded_customers=(8433, 27710, 34000, 36363, 36511, 28306, 37187, 36603, 35653, 19620, 43194),
+        product_flag_text="CPJ",
+        product_codes=(("CPJ-3C", 67), ("CPJ-COB", 18)),
+        missing_group_label="NÃO CONSTA",
+        main_product_codes=(18, 67),
+    )
 
 # The same rules mapped onto the driver's generated tables (see FIXTURES.md).
 DRIVER_RULES = Rules(

@@ -10,9 +10,9 @@ from conftest import d
 from churnlens import functions as X
 from churnlens.operators import contracts, evaluate as E, features, profile, scoring, tasks
 from churnlens.plans import customer, customer_product
-from churnlens.rules import REFERENCE_RULES
+from churnlens.rules import reference_rules
 
-R = REFERENCE_RULES.with_as_of("2024-06-30")
+R = reference_rules("2024-06-30")
 
 
 def contract(codigo, cid, status, sig, cancel=None, due=None):

@@ -53,6 +53,14 @@ def test_folds_disjoint_and_covering(feats):
     assert {r[0] for r in f.select("fold").distinct().collect()} == {0, 1, 2}
 
 
+def test_folds_are_stratified(feats):
+    f = models.fold_column(feats, 3)
+    n = {(r["churn"], r["fold"]): r["count"] for r in f.groupBy("churn", "fold").count().collect()}
+    for c in (0, 1):
+        own = [n.get((c, k), 0) for k in range(3)]
+        assert max(own) - min(own) <= 1
+
+
 def test_random_forest_refit_and_importances(split, kept):
     train, test = split.where("is_test = 0"), split.where("is_test = 1")
     m1 = models.random_forest(train, kept, num_trees=20, max_depth=4)
@@ -85,6 +93,41 @@ def test_logit_on_two_by_two_table(spark):
     assert t["x"]["p_value"] < 0.05
 
 
+def _noisy(spark, slope):
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for i in range(600):
+        a, b = rng.random(), rng.random()
+        y = int(rng.random() < 1 / (1 + math.exp(-slope * (a - 0.5))))
+        rows.append((i, a, b, 100.0 - a - b, 7.0, y))
+    return spark.createDataFrame(rows, "cod_cliente int, a double, b double, c double, d double, churn int")
+
+
+def test_collinear_and_constant_features_are_reported(spark):
+    df = _noisy(spark, 4.0)
+    assert models.independent_features(df, ["a", "b", "c", "d"]) == ["a", "b"]
+    _, table = models.logit_wald(df, ["a", "b", "c", "d"])
+    t = {r["feature"]: r for r in table.collect()}
+    assert list(t) == ["a", "b", "c", "d", "const"]
+    assert t["a"]["p_value"] < 0.05 and t["b"]["p_value"] is not None
+    for name in "cd":
+        assert t[name]["coefficient"] is None and t[name]["significativo"] == models.COLLINEAR_TEXT
+
+
+def test_insignificant_features_go(spark):
+    kept = [r["feature"] for r in models.drop_insignificant(_noisy(spark, 4.0), ["a", "d"]).collect()]
+    assert kept == ["a", "const"]
+    df = _noisy(spark, 0.0)
+    p = {r["feature"]: r["p_value"] for r in models.logit_wald(df, ["b"])[1].collect()}
+    alpha = p["b"] / 2
+    only = models.drop_insignificant(df, ["b"], alpha=alpha).collect()
+    pos, n = df.where("churn = 1").count(), df.count()
+    assert [r["feature"] for r in only] == ["const"]
+    assert only[0]["coefficient"] == pytest.approx(math.log(pos / (n - pos)))
+
+
 def test_save_load_gives_equal_scores(spark, split, kept, tmp_path):
     train, test = split.where("is_test = 0"), split.where("is_test = 1")
     model, _ = models.logit_wald(train, kept[:4])

@@ -31,8 +31,22 @@ def test_status_table_is_broadcast_and_filters_pushed(spark):
     df = tasks.product_tasks(roles, DRIVER_RULES)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
-    optimized = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "nros_sub" not in optimized or "Filter" in optimized
+    pushed = [line for line in p.splitlines() if "PushedFilters" in line]
+    assert any("IsNotNull(l_returnflag)" in line or "IsNotNull(l_orderkey)" in line for line in pushed)
+
+
+def _scans(df, column):
+    """Scans of the executed plan, before adaptive execution, that read ``column``."""
+    return sum("FileScan" in line and column in line for line in plan(df).splitlines())
+
+
+@pytest.mark.parametrize("active", [False, True])
+def test_tasks_are_read_once(spark, active):
+    roles = driver_roles(spark, SF0001)
+    df = customer.customer_features(roles, DRIVER_RULES, active_only=active)
+    assert _scans(df, "l_orderkey") <= 4
+    assert "Union" not in plan(df)
+    assert ("LeftSemi" in plan(df)) == active
 
 
 def test_scan_prunes_columns(spark):
