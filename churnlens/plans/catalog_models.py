@@ -29,7 +29,7 @@ from churnlens.plans.catalog_analytics import (
     report_spark,
     split_spark,
 )
-from churnlens.plans.registry import register
+from churnlens.plans.registry import ONE_CUSTOMER, register
 from churnlens.session import materialize, scratch_path
 from churnlens.sources import csv as csv_source
 from churnlens.sources import report as report_source
@@ -137,6 +137,19 @@ def q_attribution(spark, sf_dir):
     return explain.linear_attribution(r5(spark, sf_dir), scoring.DEMO_SCORER)
 
 
+@register(
+    "attribution_global",
+    f"SELECT feature, AVG(ABS(contribuicao)) AS media_abs_contribuicao FROM ({_attribution_sql()}) q WHERE feature <> '__base__' GROUP BY feature",
+)
+def q_attribution_global(spark, sf_dir):
+    return explain.global_attribution(explain.linear_attribution(r5(spark, sf_dir), scoring.DEMO_SCORER))
+
+
+@register("attribution_one", f"SELECT * FROM ({_attribution_sql()}) q WHERE cod_cliente = {ONE_CUSTOMER}")
+def q_attribution_one(spark, sf_dir):
+    return explain.explain_one(explain.linear_attribution(r5(spark, sf_dir), scoring.DEMO_SCORER), ONE_CUSTOMER)
+
+
 # --------------------------------------------------------------------------- S3-S5 round trips
 
 CSV_TYPES = {

@@ -78,6 +78,15 @@ def q_customer_features_active(spark, sf_dir):
     return customer.customer_features(roles(spark, sf_dir), R, active_only=True)
 
 
+#: The customer that the single-customer forms are asked for (S8, M12); a parameter of the query.
+ONE_CUSTOMER = 3
+
+
+@register("param_query", f"SELECT * FROM ({oracle.customer_features_sql(R)}) q WHERE cod_cliente = {ONE_CUSTOMER}")
+def q_param_query(spark, sf_dir):
+    return customer.customer_features(roles(spark, sf_dir), R, customer_id=ONE_CUSTOMER)
+
+
 @register("customer_product_features", oracle.customer_product_features_sql(R))
 def q_customer_product_features(spark, sf_dir):
     return customer_product.customer_product_features(roles(spark, sf_dir), R)
