@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from churnlens.operators import evaluate as E
 from churnlens.operators import explain, models, profile, scoring
 from churnlens.plans import oracle
-from churnlens.plans.catalog import R4_WITH
+from churnlens.plans.catalog import MODEL_FEATURES, R4_WITH
 from churnlens.plans.catalog_analytics import (
     FEATS,
     R4_CTE,
@@ -98,6 +98,16 @@ def q_model_store(spark, sf_dir):
     return models.predict_proba(loaded, test.select("cod_cliente", "churn", *feats))
 
 
+@register("batch_score_fitted")
+def q_batch_score_fitted(spark, sf_dir):
+    """R1 with a fitted pipeline: saved, loaded again, its features validated, the active customers scored."""
+    train = materialize(split_spark(spark, sf_dir)).where(F.col("is_test") == 0)
+    path = scratch_path(spark, f"models/forest-{uuid.uuid4().hex}")
+    models.save_model(models.random_forest(train, list(MODEL_FEATURES)), path)
+    models.save_feature_contract(spark, list(MODEL_FEATURES), path + "-features")
+    return scoring.batch_score(r5(spark, sf_dir), models.load_model(path), models.load_feature_contract(spark, path + "-features"))
+
+
 @register("feature_contract")
 def q_feature_contract(spark, sf_dir):
     _, _, kept = _train_test(spark, sf_dir)

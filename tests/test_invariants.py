@@ -140,6 +140,16 @@ def test_save_load_gives_equal_scores(spark, split, kept, tmp_path):
     assert a == b
 
 
+def test_fitted_pipeline_scores_active_customers(spark, feats):
+    from churnlens.plans.registry import QUERIES
+
+    rows = QUERIES["batch_score_fitted"](spark, SF0001).collect()
+    active = {r["cod_cliente"] for r in feats.where("churn = 0").collect()}
+    risk = {r["cod_cliente"]: r[scoring.RISK] for r in rows}
+    assert set(risk) == active and len(rows) == len(active)
+    assert all(0.0 <= p <= 1.0 for p in risk.values()) and len(set(risk.values())) > 1
+
+
 def test_attribution_adds_up_to_logit(feats):
     s = scoring.DEMO_SCORER
     att = explain.linear_attribution(feats, s)
