@@ -107,6 +107,15 @@ def customer_base(roles: Roles, rules: Rules, customer_id: int | None = None) ->
     )
 
 
+def value_rejects(roles: Roles, rules: Rules) -> DataFrame:
+    """One row: customers, and those whose contract sum does not fit A4's
+    ``DECIMAL(10, 2)`` (``customer_base`` has NULL for them)."""
+    valued = contracts_with_value(contracts_in_scope(roles.contract, rules), roles.item)
+    total = valued.groupBy("codigo").agg(F.sum("valor_total").alias("total"))
+    lost = F.col("total").isNotNull() & X.to_decimal("total", 10, 2).isNull()
+    return total.agg(F.count(F.lit(1)).alias("qt_clientes"), F.count_if(lost).alias("qt_rejeitados"))
+
+
 # --------------------------------------------------------------------------- product-group query
 
 

@@ -285,3 +285,15 @@ def test_single_customer_parameter(make_roles):
     both = {r["cod_cliente"] for r in customer.customer_features(roles, R).collect()}
     one = customer.customer_features(roles, R, customer_id=6).collect()
     assert both == {5, 6} and [r["cod_cliente"] for r in one] == [6] and one[0]["media_dias_exec"] == 8.0
+
+
+def test_overflowing_contract_sums_are_counted(make_roles):
+    """A4: a sum beyond DECIMAL(10, 2) is NULL, and counted; a customer without items is no reject."""
+    day = d("2020-01-01")
+    roles = make_roles(
+        contract=[(c, 10 * c, R.status_active, day, None, None) for c in (1, 2, 3)],
+        item=[(10, 1, 1, "99999999.99"), (20, 1, 2, "50000000.00")],
+    )
+    value = {r["cod_cliente"]: r["valor_contrato"] for r in contracts.customer_base(roles, R).collect()}
+    assert str(value[1]) == "99999999.99" and value[2] is None and value[3] is None
+    assert tuple(contracts.value_rejects(roles, R).first()) == (3, 1)
