@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from churnlens import functions as X
 from churnlens.operators import prepare, profile
+from churnlens.session import materialize
 
 LABEL = "churn"
 KEY = "cod_cliente"
@@ -314,7 +315,7 @@ def random_search(
     refitted on all training rows.  Returns the best pipeline and the
     candidate table ``(candidato, params, metrica)``.
     """
-    data = fold_column(_labelled(train, label), folds, seed)
+    data = materialize(fold_column(_labelled(train, label), folds, seed))
     if kind == "rf":
         est = RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, checkpointInterval=10)
         space, evaluator = space or RF_SPACE, MulticlassClassificationEvaluator(metricName="accuracy")
