@@ -7,8 +7,10 @@ are hash-joined between benchmark items and documents.  For every item,
 document and alignment of the two, the values in the slots must be consistent:
 one value of the item always meets the same value of the document.  So a
 question that was given other numbers or names is found, and a chance meeting
-of templates is not.  A document is contaminated by an item if consistent
-windows of one alignment make up ``share`` of the item's windows.
+of templates is not.  An inserted or deleted word moves the rest of a passage to
+another alignment, so consistent alignments that lie at most ``drift`` words
+from the next one are taken together.  A document is contaminated by an item
+if the item's windows found in such a run make up ``share`` of all its windows.
 
 A window needs ``literals`` words that are no placeholders.  Items shorter
 than a window are joined as one window of their own length; items with fewer
@@ -29,7 +31,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.llm.common import slices, stored, words
@@ -191,10 +193,11 @@ def document_windows(docs: DataFrame, bits: bytes, sizes: list[int], literals: i
     return rows.mapInArrow(run, WINDOWS.format(id=docs.schema[id_col].dataType.simpleString()))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4, share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4, share: float = 0.5, drift: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc id, item_id, windows, item_windows, same_slots)``: a row for each contaminated document and item.
 
-    ``same_slots`` tells a verbatim passage from a re-parameterised one.
+    ``same_slots`` tells a verbatim passage from a re-parameterised one: the
+    alignments with equal values reach the share alone.
     """
     items = stored(item_windows(benchmark, window, literals), "decontamination-items")
     bits, sizes = _bits(items)
@@ -203,15 +206,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
     right = found.select("id", "size", "pos", "h", "template", "slots")
     met = right.join(left, ["h", "size", "template"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    aligned = met.groupBy("id", "item_id", "shift", "item_windows").agg(F.count_distinct("item_pos").alias("windows"), F.flatten(F.collect_set(pairs)).alias("met"))
+    aligned = met.groupBy("id", "item_id", "shift", "item_windows").agg(F.collect_set("item_pos").alias("at"), F.flatten(F.collect_set(pairs)).alias("met"))
     aligned = aligned.withColumn("met", F.array_distinct("met"))
     consistent = F.size(F.array_distinct(F.transform("met", lambda p: p["a"]))) == F.size("met")
-    enough = F.col("windows") >= F.greatest(F.lit(1.0), F.col("item_windows") * F.lit(share))
     same = F.forall("met", lambda p: p["a"] == p["b"])
+    by_shift = Window.partitionBy("id", "item_id").orderBy("shift")
+    apart = F.coalesce((F.col("shift") - F.lag("shift").over(by_shift) > drift).cast("int"), F.lit(0))
+    near = aligned.where(consistent).select("id", "item_id", "item_windows", "shift", "at", same.alias("same"), apart.alias("apart")).withColumn("run", F.sum("apart").over(by_shift))
+    count = lambda at: F.size(F.array_distinct(F.flatten(F.collect_list(at))))
+    runs = near.groupBy("id", "item_id", "item_windows", "run").agg(count(F.col("at")).alias("windows"), count(F.when(F.col("same"), F.col("at"))).alias("same_windows"))
+    least = F.greatest(F.lit(1.0), F.col("item_windows") * F.lit(share))
     return (
-        aligned.where(enough & consistent)
+        runs.where(F.col("windows") >= least)
         .groupBy(F.col("id").alias(id_col), "item_id", "item_windows")
-        .agg(F.max("windows").alias("windows"), F.max(same).alias("same_slots"))
+        .agg(F.max("windows").cast("long").alias("windows"), F.max(F.col("same_windows") >= least).alias("same_slots"))
         .select(id_col, "item_id", "windows", "item_windows", "same_slots")
     )
 

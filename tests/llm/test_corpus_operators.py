@@ -170,6 +170,21 @@ def test_other_numbers_and_names_are_found(spark, odd_docs, no_docs):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_edited_copies_are_found(spark):
+    item = [f"word{i}" for i in range(40)]
+    edits = {
+        1: [*item[:20], "new", *item[20:]],  # inserted
+        2: [*item[:20], *item[21:]],  # deleted
+        3: [*item[:20], "new", *item[21:]],  # replaced
+        4: [*item[:14], "one", "more", *item[14:27], *item[28:]],  # both, net shifts of 2 and 1
+        5: [*item[:20], *[f"far{i}" for i in range(30)], *item[20:]],  # two halves far from each other
+    }
+    rows = [(i, " ".join(["Before", "it", "stands", *words, "and", "then", "more"])) for i, words in edits.items()]
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id int, text string")
+    got = {r.doc_id: (r.windows, r.item_windows, r.same_slots) for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {1: (26, 33, True), 2: (25, 33, True), 3: (25, 33, True), 4: (18, 33, True)}
+
+
 def brute_nearest(rows, k=20):
     good = {i: v for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)}
     ids = sorted(good)
