@@ -12,9 +12,14 @@ another alignment, so consistent alignments that lie at most ``drift`` words
 from the next one are taken together.  A document is contaminated by an item
 if the item's windows found in such a run make up ``share`` of all its windows.
 
-A window needs ``literals`` words that are no placeholders.  Items shorter
+Windows with fewer than ``literals`` words that are no placeholders would meet
+by chance as templates; an item's are joined on their exact words instead, with
+all windows of the documents (which words are names depends on the sentence
+around them, so a copy's window may have more literals).  Where an
+alignment's values are not consistent, its windows with equal values still
+count, so that a verbatim copy with one changed value is found.  Items shorter
 than a window are joined as one window of their own length; items with fewer
-literals than that match nothing.  Items with equal words are one item, named
+than ``literals`` words match nothing.  Items with equal words are one item, named
 by the smallest id.  A table of ``BITS`` bits (512 KiB, whatever the size of
 the benchmark) keeps documents' windows that cannot match out of the shuffle;
 the join behind it is exact.
@@ -87,25 +92,37 @@ class Templates:
         hashes = _hash(self.names.tolist())
         literal = np.array([not x.startswith("<") for x in self.names], bool)
         self.hash, self.literal = hashes[self.kind], literal[self.kind]
+        self.exact = _hash([c.lower() for c in self.cores])[self.code]
         self.start = np.concatenate([[0], np.cumsum(self.n)])
 
-    def windows(self, size: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and hashes of the windows of a size that have enough literals."""
+    def windows(self, size: int, literals: int, every: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions and hashes of the windows of a size; the third array tells templates from exact words.
+
+        Exact are the windows with too few literals, and with ``every`` all windows once more.
+        """
         m = len(self.hash) - size + 1
         if m <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        h = np.full(m, size, np.uint64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+
+        def rolled(values: np.ndarray, seed: int) -> np.ndarray:
+            h = np.full(m, seed, np.uint64)
+            for k in range(size):
+                h = h * np.uint64(0x9E3779B97F4A7C15) + values[k : k + m]
+            return h ^ (h >> np.uint64(31))
+
         solid = np.zeros(m, np.int64)
         for k in range(size):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + self.hash[k : k + m]
             solid += self.literal[k : k + m]
-        h ^= h >> np.uint64(31)
-        good = (solid >= literals) & (self.owner[:m] == self.owner[size - 1 : size - 1 + m])
-        at = np.flatnonzero(good)
-        return at, h[at]
+        own = self.owner[:m] == self.owner[size - 1 : size - 1 + m]
+        rich = np.flatnonzero(own & (solid >= literals))
+        poor = np.flatnonzero(own if every else own & (solid < literals))
+        h = np.concatenate([rolled(self.hash, size)[rich], rolled(self.exact, size + (1 << 32))[poor]])
+        return np.concatenate([rich, poor]), h, np.arange(len(h)) < len(rich)
 
-    def text(self, at: int, size: int) -> str:
-        return " ".join(self.names[self.kind[at : at + size]])
+    def text(self, at: int, size: int, rich: bool) -> str:
+        if rich:
+            return " ".join(self.names[self.kind[at : at + size]])
+        return "= " + " ".join(c.lower() for c in self.cores[self.code[at : at + size]])
 
     def slots(self, at: int, size: int) -> list[str]:
         return [self.cores[c].lower() for c, lit in zip(self.code[at : at + size], self.literal[at : at + size], strict=True) if not lit]
@@ -114,7 +131,7 @@ class Templates:
 WINDOWS = "id {id}, size int, pos long, total long, h long, template string, slots array<string>"
 
 
-def _rows(t: Templates, ids: pa.Array, size: int, at: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+def _rows(t: Templates, ids: pa.Array, size: int, at: np.ndarray, h: np.ndarray, rich: np.ndarray) -> pa.RecordBatch:
     owner = t.owner[at]
     return pa.RecordBatch.from_arrays(
         [
@@ -123,7 +140,7 @@ def _rows(t: Templates, ids: pa.Array, size: int, at: np.ndarray, h: np.ndarray)
             pa.array(at - t.start[owner], pa.int64()),
             pa.array(t.n[owner] - size + 1, pa.int64()),
             pa.array(h.view(np.int64)),
-            pa.array([t.text(i, size) for i in at.tolist()], pa.string()),
+            pa.array([t.text(i, size, r) for i, r in zip(at.tolist(), rich.tolist(), strict=True)], pa.string()),
             pa.array([t.slots(i, size) for i in at.tolist()], pa.list_(pa.string())),
         ],
         ["id", "size", "pos", "total", "h", "template", "slots"],
@@ -137,12 +154,12 @@ def item_windows(benchmark: DataFrame, window: int, literals: int) -> DataFrame:
         for b in slices(batches, "text"):
             t = Templates(b.column("text"))
             for size in range(literals, window + 1):
-                at, h = t.windows(size, literals)
+                at, h, rich = t.windows(size, literals, every=False)
                 if size < window:
                     short = t.n[t.owner[at]] == size
-                    at, h = at[short], h[short]
+                    at, h, rich = at[short], h[short], rich[short]
                 if len(at):
-                    yield _rows(t, b.column("id"), size, at, h)
+                    yield _rows(t, b.column("id"), size, at, h, rich)
 
     same = benchmark.where("text is not null").groupBy(F.regexp_replace(F.trim("text"), r"[\x20\x09-\x0D]+", " ").alias("text")).agg(F.min("item_id").alias("id"))
     return same.select("id", "text").mapInArrow(run, WINDOWS.format(id=benchmark.schema["item_id"].dataType.simpleString()))
@@ -183,11 +200,11 @@ def document_windows(docs: DataFrame, bits: bytes, sizes: list[int], literals: i
         for b in slices(batches, "text"):
             t = Templates(b.column("text")) if sizes else None
             for size in sizes:
-                at, h = t.windows(size, literals)
+                at, h, rich = t.windows(size, literals, every=True)
                 hit = seen[(h % np.uint64(BITS)).astype(np.int64)]
-                at, h = at[hit], h[hit]
+                at, h, rich = at[hit], h[hit], rich[hit]
                 for k in range(0, len(at), 50_000):
-                    yield _rows(t, b.column("id"), size, at[k : k + 50_000], h[k : k + 50_000])
+                    yield _rows(t, b.column("id"), size, at[k : k + 50_000], h[k : k + 50_000], rich[k : k + 50_000])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, WINDOWS.format(id=docs.schema[id_col].dataType.simpleString()))
@@ -197,7 +214,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
     """``(doc id, item_id, windows, item_windows, same_slots)``: a row for each contaminated document and item.
 
     ``same_slots`` tells a verbatim passage from a re-parameterised one: the
-    alignments with equal values reach the share alone.
+    windows with equal values reach the share alone.
     """
     items = stored(item_windows(benchmark, window, literals), "decontamination-items")
     bits, sizes = _bits(items)
@@ -206,15 +223,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
     right = found.select("id", "size", "pos", "h", "template", "slots")
     met = right.join(left, ["h", "size", "template"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    aligned = met.groupBy("id", "item_id", "shift", "item_windows").agg(F.collect_set("item_pos").alias("at"), F.flatten(F.collect_set(pairs)).alias("met"))
+    same = F.forall(pairs, lambda p: p["a"] == p["b"])
+    aligned = met.groupBy("id", "item_id", "shift", "item_windows").agg(F.collect_set("item_pos").alias("at"), F.collect_set(F.when(same, F.col("item_pos"))).alias("same_at"), F.flatten(F.collect_set(pairs)).alias("met"))
     aligned = aligned.withColumn("met", F.array_distinct("met"))
     consistent = F.size(F.array_distinct(F.transform("met", lambda p: p["a"]))) == F.size("met")
-    same = F.forall("met", lambda p: p["a"] == p["b"])
+    valid = aligned.select("id", "item_id", "item_windows", "shift", F.when(consistent, F.col("at")).otherwise(F.col("same_at")).alias("at"), "same_at").where(F.size("at") > 0)
     by_shift = Window.partitionBy("id", "item_id").orderBy("shift")
     apart = F.coalesce((F.col("shift") - F.lag("shift").over(by_shift) > drift).cast("int"), F.lit(0))
-    near = aligned.where(consistent).select("id", "item_id", "item_windows", "shift", "at", same.alias("same"), apart.alias("apart")).withColumn("run", F.sum("apart").over(by_shift))
+    near = valid.withColumn("apart", apart).withColumn("run", F.sum("apart").over(by_shift))
     count = lambda at: F.size(F.array_distinct(F.flatten(F.collect_list(at))))
-    runs = near.groupBy("id", "item_id", "item_windows", "run").agg(count(F.col("at")).alias("windows"), count(F.when(F.col("same"), F.col("at"))).alias("same_windows"))
+    runs = near.groupBy("id", "item_id", "item_windows", "run").agg(count(F.col("at")).alias("windows"), count(F.col("same_at")).alias("same_windows"))
     least = F.greatest(F.lit(1.0), F.col("item_windows") * F.lit(share))
     return (
         runs.where(F.col("windows") >= least)

@@ -185,6 +185,26 @@ def test_edited_copies_are_found(spark):
     assert got == {1: (26, 33, True), 2: (25, 33, True), 3: (25, 33, True), 4: (18, 33, True)}
 
 
+def test_items_poor_in_literals_and_one_changed_value(spark):
+    sums = "12 + 30 = 42 ; 7 * 8 = 56 ; 90 - 15 = 75 ; 6 * 6 = 36 ; 81 / 9 = 9"
+    names = "Anna Bert Carla Dora Emil Frida Georg Hanna Ida Jan Karl Lea Mia Nils"
+    long = " ".join(f"word{i} goes with {i % 9} of them and" for i in range(12))
+    items = spark.createDataFrame([(1, sums), (2, names), (3, "3 + 4 = 7"), (4, long)], "item_id int, text string")
+    changed = long.replace("word1 goes with 1 ", "word1 goes with 77 ")  # word10 keeps its 1
+    rows = [
+        (1, f"As it was told: {sums} and so on."),
+        (2, f"the list {names} ends here"),
+        (3, "We know that 3 + 4 = 7 holds."),
+        (4, f"It says {changed} no more"),
+        (5, sums.replace("1", "2").replace("6", "5").replace("8", "3")),  # other sums
+        (6, "Otto Paula Quin Rosa Sven Tina Udo Vera Willi Xenia Yara Zoe Adam Bela"),
+        (7, "We know that 3 + 5 = 8 holds."),
+    ]
+    assert changed != long
+    got = {(r.doc_id, r.item_id): r.same_slots for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1): True, (2, 2): True, (3, 3): True, (4, 4): True}
+
+
 def brute_nearest(rows, k=20):
     good = {i: v for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)}
     ids = sorted(good)
