@@ -107,6 +107,23 @@ def test_repeated_passages_go(spark):
     assert got[7].text is None and got[8].text == "" and got[1].n_lines_removed == 1
 
 
+def test_short_blocks_of_lines_go(spark):
+    """Whole blocks of 2 to 6 short lines and over 50 words, between differing neighbours."""
+    own = lambda d, n: [f"own line {d} {i} {'x' * (d * 7 + i * 3)}" for i in range(n)]
+    rows, want = [], {}
+    for n in range(2, 7):
+        for k in range(6):
+            block = [" ".join(f"b{n}k{k}l{i}w{w}" for w in range(60 // n)) for i in range(n)]
+            first, later = 100 * n + k, 100 * n + k + 50
+            rows += [(first, "\n".join([*own(first, 3), *block, *own(first + 1000, 3)])), (later, "\n".join([*own(later, 4), *block, *own(later + 1000, 2)]))]
+            want |= {first: rows[-2][1], later: "\n".join(own(later, 4) + own(later + 1000, 2))}
+    few = "\n".join(f"few words {i}" for i in range(2))  # a repeated pair of under 50 words stays
+    rows += [(9000, f"{few}\nalone"), (9001, f"other\n{few}\nend"), (9002, "\n" * 80), (9003, "\n" * 70 + "end")]
+    want |= {9001: f"other\n{few}\nend", 9003: "\n" * 70 + "end"}
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got[i] for i in want} == want
+
+
 def test_line_dedup_of_documents(spark, sf, documents, odd_docs, no_docs):
     got = {r.doc_id: r for r in queries.op1_line_dedup(spark, sf).collect()}
     first = {}
