@@ -14,7 +14,7 @@ boundary, are found by adjacent line pairs: all pairs are counted and compared
 like chunks, neighbouring later pairs of a document are joined to runs, and a
 run of ``passage_words`` words or more is removed (empty lines have none).  The
 first copies of its pairs may stand in different places.  Other lines stay; the
-first copy of a line is in no later pair, so each different line is left once.
+first copy of a line is in no later pair, so each different line is left at least once.
 
 Only hashes are shuffled for all chunks; texts move for repeated chunks and
 once by document.  A chunk that occurs very often is counted with partial
