@@ -197,10 +197,9 @@ def q_read_report(spark, sf_dir):
 @register("tree_attribution")
 def q_tree_attribution(spark, sf_dir):
     train, test, kept = _train_test(spark, sf_dir)
-    ratio = models.class_weight_ratio(train.unionByName(test))
-    # 20 boosting rounds in the registered form (library default 100) to keep the gate short
-    model = models.gradient_boosting(train, kept, ratio, max_iter=20)
-    return explain.tree_attribution(test, model, kept, scratch_path(spark, "ensembles"))
+    rows = train.unionByName(test)
+    model = models.gradient_boosting(train, kept, models.class_weight_ratio(rows))
+    return explain.tree_attribution(rows, model, kept, scratch_path(spark, "ensembles"))
 
 
 @register("gbt_random_search")

@@ -243,3 +243,15 @@ def test_tree_shap_matches_brute_force_shapley():
                     wgt = math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n)
                     exact += wgt * (value(x, set(S) | {i}) - value(x, set(S)))
             assert phi[r, i] == pytest.approx(exact, abs=1e-12)
+
+
+def test_registered_tree_attribution_is_the_whole_job(spark, monkeypatch):
+    """The library's number of rounds, and every customer explained."""
+    from churnlens.plans import catalog_models
+
+    seen = {}
+    monkeypatch.setattr(catalog_models.models, "gradient_boosting", lambda train, kept, ratio, **more: seen.update(more))
+    monkeypatch.setattr(catalog_models.explain, "tree_attribution", lambda rows, model, kept, path: rows)
+    rows = catalog_models.q_tree_attribution(spark, SF0001)
+    assert seen.get("max_iter", 100) >= 100
+    assert {r.is_test for r in rows.select("is_test").distinct().collect()} == {0, 1}
