@@ -6,7 +6,6 @@ sources/    role tables (parquet, JDBC, CSV), report and model artifacts
 functions/  scalar column expressions
 operators/  relational, profiling, preparation, model and evaluation operators
 plans/      the composed feature queries and the registry of named queries
-streaming/  the scoring transform applied to a streaming DataFrame
 """
 
 from churnlens.rules import Rules, DRIVER_RULES, reference_rules  # noqa: F401

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 def write_report(df: DataFrame, base_path: str, run_date: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """S4 write ``df`` as the ``run_date`` partition of the report table
-    (``mode='append'`` adds to the partition, as streaming micro-batches do)."""
+    (``mode='append'`` adds to the partition)."""
     spark = df.sparkSession
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 import tempfile
@@ -9,9 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-SF0001 = "/root/testdata/sf0.001"
-SF001 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -33,25 +29,6 @@ def spark():
     yield s
 
 
-ROLE_SCHEMAS = {
-    "contract": "codigo long, idcontrato long, status int, assinatura date, cancelamento date, vencimento date",
-    "item": "id_contrato long, item long, quantidade decimal(10,0), valor decimal(14,4)",
-    "task": "cliente long, nros long, nros_sub int, data_cad date, data_exe date, categoria long, subcategoria long, "
-    "prioridade int, para1 long, stos string, cod_ps int",
-    "task_history": "nros long, datafos date",
-    "user": "cod_usu long, grupo_trabalho int",
-    "category": "st long, dst string",
-    "status": "cod string, sto string, descr string",
-    "item_dict": "codigo long, grupo_produto string",
-    "registry": "cod_cad long, nomecli string, empresa string",
-    "product": "cod_ps int",
-}
-
-
-def d(s):
-    return None if s is None else dt.date.fromisoformat(s)
-
-
 @pytest.fixture(scope="session")
 def make_roles(spark):
     from churnlens.sources.roles import frame_roles
@@ -59,6 +36,8 @@ def make_roles(spark):
     def build(**rows):
         from decimal import Decimal
 
+        from role_cases import ROLE_SCHEMAS
+
         frames = {}
         for role, schema in ROLE_SCHEMAS.items():
             data = rows.get(role, [])

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import d
+from role_cases import d
 from churnlens import functions as X
 from churnlens.operators import contracts, evaluate as E, features, profile, scoring, tasks
 from churnlens.plans import customer, customer_product
@@ -33,7 +33,7 @@ def test_cancel_date_rules(spark):
         contract(1, 12, 4, "2020-02-01", "2020-02-01", "2021-02-01"),
         contract(1, 13, 3, "2020-02-01", "2020-02-01", "2021-02-01"),
     ]
-    from conftest import ROLE_SCHEMAS
+    from role_cases import ROLE_SCHEMAS
 
     df = spark.createDataFrame(rows, ROLE_SCHEMAS["contract"])
     got = {r["idcontrato"]: r["c"] for r in df.select("idcontrato", contracts.cancel_date(R).alias("c")).collect()}
@@ -180,7 +180,7 @@ def test_greatest_of_null_is_null(spark):
 
 
 def test_consolidated_duplicates_not_double_counted(spark):
-    from conftest import ROLE_SCHEMAS
+    from role_cases import ROLE_SCHEMAS
 
     dup = spark.createDataFrame(
         [contract(9, 90, 4, "2020-01-01", "2020-06-01", "2021-01-01"), contract(9, 90, 4, "2020-01-01", None, "2021-01-01")],

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from role_cases import SF0001
 from churnlens.operators import evaluate as E
 from churnlens.operators import explain, models, prepare, profile, scoring
 from churnlens.plans import customer

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from conftest import SF0001  # noqa: E402
+from role_cases import SF0001  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
 

@@ -3,7 +3,7 @@ queries, fixed code tables broadcast, filters pushed to the scan."""
 
 import pytest
 
-from conftest import SF0001
+from role_cases import SF0001
 from churnlens.operators import tasks
 from churnlens.plans import customer, customer_product
 from churnlens.rules import DRIVER_RULES

@@ -1,4 +1,4 @@
-"""Sources and sinks: JDBC options, dated report, CSV export, streaming scoring."""
+"""Sources and sinks: JDBC options, dated report, CSV export."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,18 +36,3 @@ def test_csv_round_trip(spark, tmp_path):
     assert all("," in r["perc_x"] for r in raw.collect())
     back = C.read_decimal_comma_csv(spark, path, types={"cod_cliente": "long", "qt_y": "long"})
     assert sorted(tuple(r) for r in back.collect()) == [(1, 0.25, 3), (2, 1e-5, 4)]
-
-
-def test_streaming_scoring(spark, tmp_path):
-    from churnlens.streaming import score_stream, write_scores
-
-    src = str(tmp_path / "in")
-    spark.createDataFrame([(1, 2.0), (2, -1.0)], "cod_cliente long, a double").write.parquet(src)
-    stream = spark.readStream.schema("cod_cliente long, a double").parquet(src)
-    scored = score_stream(stream, scoring.LinearScorer(0.0, {"a": 1.0}))
-    q = write_scores(scored, str(tmp_path / "out"), "2024-01-01", str(tmp_path / "ckpt"))
-    q.processAllAvailable()
-    q.stop()
-    out = Rp.read_report(spark, str(tmp_path / "out"), "2024-01-01")
-    got = {r["cod_cliente"]: r["risco_churn_percentual"] for r in out.collect()}
-    assert got[1] == pytest.approx(1 / (1 + 2.718281828459045 ** -2.0), rel=1e-6)
