@@ -26,4 +26,49 @@ FROM marked GROUP BY conv_id
 """
 
 
-ORACLE_SQL = {"op5_chat_format": CHAT}
+#: Dense on purpose: every kept term of a language against every pair of its sources.
+DIVERGENCE = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+n AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+tokens AS (SELECT lang, source, sum(n) AS tokens FROM n GROUP BY lang, source),
+p AS (
+    SELECT g.lang, g.source, kept.term, coalesce(n.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 1)) // (coalesce(tokens.tokens, 0) + v.v)::HUGEINT AS p
+    FROM g JOIN kept USING (lang) JOIN v USING (lang)
+    LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term
+    LEFT JOIN tokens ON tokens.lang = g.lang AND tokens.source = g.source
+),
+q AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 1)::HUGEINT) // (any_value(all_n) + any_value(v.v))::HUGEINT AS q
+    FROM p JOIN v USING (lang) JOIN (SELECT lang, sum(n) AS all_n FROM n GROUP BY lang) USING (lang)
+    GROUP BY lang, term
+),
+f AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL
+    SELECT p.lang, p.source, 'term', p.term, CAST((p.p - q.q) * (p.p - q.q) // q.q AS BIGINT)
+    FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM parts
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+ORACLE_SQL = {"op5_chat_format": CHAT, "op13_divergence": DIVERGENCE}

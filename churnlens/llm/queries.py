@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import ann, chat_format, decontaminate, line_dedup, lm_score, packing, pii, quality, simhash, token_counts
+from churnlens.llm import ann, chat_format, decontaminate, divergence, line_dedup, lm_score, packing, pii, quality, simhash, token_counts
 from churnlens.llm.common import table
 
 #: Turns added to the conversations: texts that imitate the template's control strings.
@@ -77,4 +77,10 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op3_decontaminate, op4_token_counts, op5_chat_format, op6_lm_score, op7_pii, op8_packing, op9_quality, op10_ann)}
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that make a source stand out."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op3_decontaminate, op4_token_counts, op5_chat_format, op6_lm_score, op7_pii, op8_packing, op9_quality, op10_ann, op13_divergence)}
