@@ -71,4 +71,46 @@ QUALIFY part = 'pair' OR rank <= 200
 """
 
 
-ORACLE_SQL = {"op5_chat_format": CHAT, "op13_divergence": DIVERGENCE}
+#: h by crc32 bit by bit; every node meets each of its ancestors once for the sums over subtrees.
+TRIE = r"""
+WITH own AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+hashed AS (
+    SELECT conv_id, turns, xor(list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+        lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))
+    ), 4294967295) % 4 AS h
+    FROM own
+),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+),
+prefix AS (
+    SELECT conv_id, d, turns[1:d] AS path, len(turns) = d AS ends
+    FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+),
+node AS (
+    SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ended,
+           CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+    FROM prefix GROUP BY path, d
+),
+child AS (SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+leafy AS (
+    SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child ON child.path = node.path AND child.d = node.d
+),
+under AS (
+    SELECT path[1:a] AS path, a AS d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM leafy) GROUP BY ALL
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(n.ended) AS ends_sha256
+FROM leafy n JOIN under u ON u.path = n.path AND u.d = n.d
+LEFT JOIN node p ON n.d > 0 AND p.d = n.d - 1 AND p.path = n.path[1:n.d - 1]
+"""
+
+
+ORACLE_SQL = {"op5_chat_format": CHAT, "op11_prefix_trie": TRIE, "op13_divergence": DIVERGENCE}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import ann, chat_format, decontaminate, divergence, line_dedup, lm_score, packing, pii, quality, simhash, token_counts
+from churnlens.llm import ann, bpe_codec, chat_format, decontaminate, divergence, line_dedup, lm_score, packing, pii, prefix_trie, quality, simhash, token_counts
 from churnlens.llm.common import table
 
 #: Turns added to the conversations: texts that imitate the template's control strings.
@@ -78,9 +78,26 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(prefix_trie.spliced(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    read = bpe_codec.decode(bpe_codec.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN), vocabulary)
+    return read.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances between the sources of each language, and the terms that make a source stand out."""
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op3_decontaminate, op4_token_counts, op5_chat_format, op6_lm_score, op7_pii, op8_packing, op9_quality, op10_ann, op13_divergence)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op3_decontaminate, op4_token_counts, op5_chat_format, op6_lm_score, op7_pii, op8_packing, op9_quality, op10_ann, op11_prefix_trie, op12_bpe_codec, op13_divergence)}
