@@ -17,6 +17,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.operators.quantiles import exact_quantiles, value_counts
+
 KEY = "cod_cliente"
 LABEL = "churn"
 
@@ -160,10 +162,15 @@ def minmax_transform(df: DataFrame, fit: dict[str, tuple[float, float]]) -> Data
 
 
 def robust_fit(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """M3 fit: per-column (median, IQR) with exact interpolated percentiles."""
-    aggs = [F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in columns]
-    row = train.agg(*aggs).first()
-    return {c: (row[c][1], row[c][2] - row[c][0]) for c in columns}
+    """M3 fit: per-column (median, IQR) with exact interpolated quantiles.
+
+    One row a column reaches the driver; the quantiles come from distributed
+    rank selection (``quantiles``)."""
+    columns = list(columns)
+    long = train.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+    fit = exact_quantiles(value_counts(long, ["feature"]), ["feature"], [0.25, 0.5, 0.75])
+    found = {r["feature"]: r["q"] for r in fit.collect()}
+    return {c: (found[c][1], found[c][2] - found[c][0]) if c in found else (None, None) for c in columns}
 
 
 def robust_transform(df: DataFrame, fit: dict[str, tuple[float, float]]) -> DataFrame:

@@ -7,11 +7,10 @@ outputs are long tables ``(feature, ...)``.
 
 Scale notes
 -----------
-* ``percentile``/``median`` are exact: Spark aggregates value counts map-side,
-  so memory per group grows with the number of *distinct* values of a feature
-  (day averages, percentages, counts), not with rows.  ``approx=True`` switches
-  to ``percentile_approx`` (bounded sketch) for features with unbounded
-  distinct values.
+* Medians and quartiles are exact and come from value counts by distributed
+  rank selection (``quantiles``): no task holds the distinct values of a group.
+  The same counts give means, deviations, distinct values and outliers, so the
+  unpivot runs once for a profile.
 * The correlation matrix is one distributed pass (MLlib ``Correlation``: a
   tree aggregate of the k x k Gramian), never a Python loop over pairs.
 * The KDE works on distinct (class, value) counts; each count row generates the
@@ -28,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens import functions as X
+from churnlens.operators.quantiles import exact_quantiles, value_counts
 
 LABEL = "churn"
 
@@ -44,26 +44,25 @@ def to_long(df: DataFrame, features: Sequence[str], ids: Sequence[str] = (LABEL,
     return long.withColumn("pos", mapping[F.col("feature")])
 
 
-def _quantiles(value: Column, probs: Sequence[float], approx: bool) -> Column:
-    arr = F.array(*[F.lit(p) for p in probs])
-    if approx:
-        return F.percentile_approx(value, arr, 100000)
-    return F.percentile(value, arr)
-
-
 # --------------------------------------------------------------------------- A19/A20
 
 
-def class_stats(df: DataFrame, features: Sequence[str], label: str = LABEL, approx: bool = False) -> DataFrame:
+def class_stats(df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
     """A19 per (feature, class): median, mean, sample std, each rounded to 2
     (half to even, as pandas)."""
-    long = to_long(df, features, (label,))
-    g = long.groupBy("feature", "pos", label).agg(
-        _quantiles(F.col("value"), [0.5], approx)[0].alias("m"),
-        F.avg("value").alias("a"),
-        F.stddev_samp("value").alias("s"),
-    )
-    return g.select(
+    keys = ["feature", "pos", label]
+    counts = value_counts(to_long(df, features, (label,)), keys)
+    c, v = F.col("c").cast("double"), F.col("value")
+    # NULLs count for nothing but keep a group without values in the table
+    n = F.sum(F.when(v.isNotNull(), c))
+    means = counts.groupBy(*keys).agg(n.alias("n"), (F.sum(c * v) / n).alias("a"))
+    # one row a (feature, class): a bounded table
+    near = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
+    centred = counts.join(F.broadcast(means.select(*[F.col(k).alias(f"of_{k}") for k in keys], "n", "a")), near[0] & near[1] & near[2])
+    off = F.sum(c * (v - F.col("a")) * (v - F.col("a")))
+    g = centred.groupBy(*keys, "n", "a").agg(F.when(F.col("n") > 1, F.sqrt(off / (F.col("n") - 1))).alias("s"))
+    median = exact_quantiles(counts, keys, [0.5]).select(*[F.col(k).alias(f"of_{k}") for k in keys], F.col("q")[0].alias("m"))
+    return g.join(F.broadcast(median), near[0] & near[1] & near[2], "left").select(
         "feature",
         "pos",
         label,
@@ -186,35 +185,23 @@ def distinct_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def iqr_outliers(df: DataFrame, features: Sequence[str], critical_percent: float = 5.0, approx: bool = False) -> DataFrame:
+def iqr_outliers(df: DataFrame, features: Sequence[str], critical_percent: float = 5.0) -> DataFrame:
     """A25 per feature with more than 2 distinct values: Q1, Q3 (interpolated),
     1.5 IQR limits, rows outside and their percent of all rows; ``critico``
     when that percent exceeds ``critical_percent``."""
-    long = to_long(df, features, ())
-    q = long.groupBy("feature", "pos").agg(
-        _quantiles(F.col("value"), [0.25, 0.75], approx).alias("q"),
-        F.count_distinct("value").alias("n_distintos"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    lim = q.where(F.col("n_distintos") > 2).select(
-        "feature",
-        "pos",
-        "n",
-        F.col("q")[0].alias("q1"),
-        F.col("q")[1].alias("q3"),
-    )
+    keys = ["feature", "pos"]
+    counts = value_counts(to_long(df, features, ()), keys)
+    size = counts.groupBy(*keys).agg(F.sum("c").alias("n"), F.count("value").alias("n_distintos"))
+    lim = exact_quantiles(counts, keys, [0.25, 0.75]).select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    lim = size.where(F.col("n_distintos") > 2).join(F.broadcast(lim), keys)
     lim = lim.withColumn("iqr", F.col("q3") - F.col("q1"))
     lim = lim.withColumn("limite_inferior", F.col("q1") - 1.5 * F.col("iqr")).withColumn(
         "limite_superior", F.col("q3") + 1.5 * F.col("iqr")
     )
-    # one row per feature: a bounded table, broadcast back onto the long form
-    out = long.join(F.broadcast(lim.select("feature", "limite_inferior", "limite_superior")), "feature")
-    counts = out.groupBy("feature").agg(
-        F.count_if((F.col("value") < F.col("limite_inferior")) | (F.col("value") > F.col("limite_superior"))).alias(
-            "qt_outliers"
-        )
-    )
-    res = lim.join(counts, "feature")
+    # one row a feature: a bounded table, broadcast back onto the counted values
+    outside = (F.col("value") < F.col("limite_inferior")) | (F.col("value") > F.col("limite_superior"))
+    res = counts.join(F.broadcast(lim.drop("iqr", "n_distintos")), keys)
+    res = res.groupBy(*keys, "n", "q1", "q3", "limite_inferior", "limite_superior").agg(F.coalesce(F.sum(F.when(outside, F.col("c"))), F.lit(0)).alias("qt_outliers"))
     pct = F.col("qt_outliers") / F.col("n") * F.lit(100.0)
     return res.select(
         "feature", "pos", "q1", "q3", "limite_inferior", "limite_superior", "qt_outliers",

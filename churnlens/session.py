@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,3 +82,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/churnlens/{name}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back.
+
+    Cuts the lineage like ``materialize`` but keeps columns apart, so later
+    readers prune them and push their filters down.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
