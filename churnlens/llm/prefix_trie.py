@@ -44,7 +44,7 @@ from churnlens.llm.common import shared_dir, stored
 
 #: Bytes of a digest, and the ids in one string of the hashing of ends.
 DIGEST, CHUNK = 16, 8192
-WORD = "[^\\x20\\x09-\\x0D]+"
+SPACE = "[\\x20\\x09-\\x0D]+"
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 NODE = "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string"
 
@@ -55,7 +55,7 @@ def sequences(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",
     # the role's length stands in front, so that role and text cannot be read in two ways
     whole = F.concat(F.char_length(role).cast("string"), F.lit(":"), role, text)
     turn = F.struct(
-        F.col(turn_col).alias("turn"), role.alias("role"), F.substring(F.unhex(F.sha2(whole, 256)), 1, DIGEST).alias("mark"), F.regexp_count(text, F.lit(WORD)).alias("words")
+        F.col(turn_col).alias("turn"), role.alias("role"), F.substring(F.unhex(F.sha2(whole, 256)), 1, DIGEST).alias("mark"), F.size(F.array_remove(F.split(text, SPACE), "")).alias("words")
     )
     rows = turns.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("conv"), turn.alias("t"))
     return rows.groupBy("conv").agg(F.transform(F.array_sort(F.collect_list("t")), lambda t: F.struct(t["mark"].alias("mark"), t["words"].alias("words"))).alias("turns"))
