@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text handed to one numpy step; long texts are never cut, a single one may exceed it.
@@ -49,6 +49,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """``struct<id, sign>``: names a row by its id and a hash of its text.
+
+    Ids may be null or repeated; rows with the same id and the same text are
+    copies that every operator treats alike.
+    """
+    return F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("sign"))
+
+
+def key_kind(docs: DataFrame, id_col: str) -> str:
+    """The type of ``row_key`` in a schema string."""
+    return f"struct<id:{docs.schema[id_col].dataType.simpleString()},sign:bigint>"
+
+
+def same_row(id_col: str, text_col: str, id_: Column, sign: Column) -> Column:
+    """A join condition: the row of a document that the key names."""
+    return F.col(f"`{id_col}`").eqNullSafe(id_) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == sign)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches by rows so that the texts of one piece stay near ``most`` bytes."""
     for batch in batches:

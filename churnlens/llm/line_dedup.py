@@ -113,13 +113,14 @@ def line_dedup(docs: DataFrame, passage_words: int = 50, id_col: str = "doc_id",
     seen = seen.select("key", "sign", "idx", "n_lines", "pair", F.xxhash64("text").alias("h"), F.octet_length("text").alias("bytes"))
     place = F.struct("key", "sign", "idx")
     repeated = seen.groupBy("h", "bytes", "pair").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
-    wanted = seen.join(repeated, ["h", "bytes", "pair"]).groupBy("key").agg(F.collect_set(F.struct("sign", "idx", "n_lines", "pair", (place == F.col("first")).alias("is_first"))).alias("wanted"))
+    wanted = seen.join(repeated, ["h", "bytes", "pair"]).groupBy("key", "sign").agg(F.collect_set(F.struct("idx", "n_lines", "pair", (place == F.col("first")).alias("is_first"))).alias("wanted"))
 
     # byte comparison of each later chunk or pair with the first
-    by_key = rows.join(wanted.withColumnRenamed("key", "wanted_key"), F.col("key").eqNullSafe(F.col("wanted_key")))
+    of_row = lambda key, row: F.col("key").eqNullSafe(F.col(key)) & (sign == F.col(row))
+    by_key = rows.join(wanted.select(F.col("key").alias("wanted_key"), F.col("sign").alias("wanted_sign"), "wanted"), of_row("wanted_key", "wanted_sign"))
     cut = lambda lines, w: F.struct(w["idx"].alias("idx"), w["n_lines"].alias("n_lines"), w["pair"].alias("pair"), w["is_first"].alias("is_first"), F.array_join(F.slice(lines, w["idx"] + 1, w["n_lines"]), "\n").alias("text"))
-    named = _let(F.split(text, "\n", -1), lambda lines: F.transform(F.filter("wanted", lambda w: w["sign"] == sign), lambda w: cut(lines, w)))
-    texts = by_key.select("key", sign.alias("sign"), F.inline(named)).withColumn("h", F.xxhash64("text"))
+    named = _let(F.split(text, "\n", -1), lambda lines: F.transform("wanted", lambda w: cut(lines, w)))
+    texts = by_key.select("key", F.col("wanted_sign").alias("sign"), F.inline(named)).withColumn("h", F.xxhash64("text"))
     firsts = texts.where("is_first").groupBy("h", F.col("pair").alias("first_pair"), F.col("text").alias("first_text")).agg(F.lit(1).alias("one"))
     later = texts.where("not is_first").drop("is_first")
     same = later.join(firsts, (later["h"] == firsts["h"]) & (later["pair"] == firsts["first_pair"]) & (later["text"] == firsts["first_text"]))
@@ -129,11 +130,10 @@ def line_dedup(docs: DataFrame, passage_words: int = 50, id_col: str = "doc_id",
     by_line = Window.partitionBy("key", "sign", "pair").orderBy("idx")
     runs = same.withColumn("run", F.when(F.col("pair"), F.col("idx") - F.row_number().over(by_line)).otherwise(F.col("idx"))).groupBy("key", "sign", "pair", "run")
     runs = runs.agg(F.min("idx").alias("idx"), F.when(F.col("pair"), F.count("*").cast("int") + 1).otherwise(F.max("n_lines")).alias("n_lines"), (F.sum(F.get("words", F.lit(0))) + F.max_by(F.get("words", F.lit(1)), "idx")).alias("words"))
-    removed = runs.where(~F.col("pair") | (F.col("words") >= passage_words)).groupBy(F.col("key").alias("removed_key")).agg(F.collect_set(F.struct("sign", "idx", "n_lines", "pair")).alias("removed"))
+    removed = runs.where(~F.col("pair") | (F.col("words") >= passage_words)).groupBy(F.col("key").alias("removed_key"), F.col("sign").alias("removed_sign")).agg(F.collect_set(F.struct("idx", "n_lines", "pair")).alias("removed"))
 
-    out = rows.join(removed, F.col("key").eqNullSafe(F.col("removed_key")), "left")
-    own = F.filter("removed", lambda x: x["sign"] == sign)
-    gone = F.coalesce(own, F.array().cast("array<struct<sign:bigint,idx:int,n_lines:int,pair:boolean>>"))
+    out = rows.join(removed, of_row("removed_key", "removed_sign"), "left")
+    gone = F.coalesce("removed", F.array().cast("array<struct<idx:int,n_lines:int,pair:boolean>>"))
     out = out.select("row", gone.alias("gone"))
     out = out.withColumn("lost", F.array_distinct(F.flatten(F.transform("gone", lambda g: F.sequence(g["idx"], g["idx"] + g["n_lines"] - 1)))))
     kept = lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("lost")), lambda i: F.get(lines, i))
