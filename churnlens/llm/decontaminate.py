@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import slices, stored, words
+from churnlens.llm.common import key_kind, row_key, same_row, slices, stored, words
 
 BITS = 1 << 22
 _NUMBER = re.compile(r"[+\-]?[$€£]?\d+(?:[.,:/]\d+)*(?:st|nd|rd|th|%)?")
@@ -206,16 +206,23 @@ def document_windows(docs: DataFrame, bits: bytes, sizes: list[int], literals: i
                 for k in range(0, len(at), 50_000):
                     yield _rows(t, b.column("id"), size, at[k : k + 50_000], h[k : k + 50_000], rich[k : k + 50_000])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, WINDOWS.format(id=docs.schema[id_col].dataType.simpleString()))
+    rows = docs.select(row_key(id_col, text_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, WINDOWS.format(id=key_kind(docs, id_col)))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4, share: float = 0.5, drift: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **parameters) -> DataFrame:
     """``(doc id, item_id, windows, item_windows, same_slots)``: a row for each contaminated document and item.
 
     ``same_slots`` tells a verbatim passage from a re-parameterised one: the
-    windows with equal values reach the share alone.
+    windows with equal values reach the share alone.  Documents that share an
+    id (or have none) are held apart by their texts and have rows of their own.
     """
+    found = _contaminated(docs, benchmark, id_col=id_col, **parameters)
+    return found.select(F.col("id.id").alias(id_col), "item_id", "windows", "item_windows", "same_slots")
+
+
+def _contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4, share: float = 0.5, drift: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``contaminated``, with the row's key (see ``row_key``) as ``id``."""
     items = stored(item_windows(benchmark, window, literals), "decontamination-items")
     bits, sizes = _bits(items)
     found = document_windows(docs, bits, sizes, literals, id_col, text_col)
@@ -236,13 +243,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
     least = F.greatest(F.lit(1.0), F.col("item_windows") * F.lit(share))
     return (
         runs.where(F.col("windows") >= least)
-        .groupBy(F.col("id").alias(id_col), "item_id", "item_windows")
+        .groupBy("id", "item_id", "item_windows")
         .agg(F.max("windows").cast("long").alias("windows"), F.max(F.col("same_windows") >= least).alias("same_slots"))
-        .select(id_col, "item_id", "windows", "item_windows", "same_slots")
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **parameters) -> DataFrame:
-    """The documents that no item contaminates, with all their columns."""
-    bad = contaminated(docs, benchmark, id_col=id_col, **parameters).select(F.col(id_col).alias("bad_id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """The documents that no item contaminates, with all their columns; a document goes by its own text, whatever its id."""
+    found = _contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **parameters)
+    bad = found.select(F.col("id.id").alias("bad id"), F.col("id.sign").alias("bad sign")).distinct()
+    return docs.join(bad, same_row(id_col, text_col, F.col("`bad id`"), F.col("`bad sign`")), "left_anti")
