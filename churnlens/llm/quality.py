@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import PAYLOAD, joined, payloads, slices, stored, summed, words
+from churnlens.llm.common import PAYLOAD, joined, key_kind, payloads, row_key, same_row, slices, stored, summed, words
 
 BITS, CHUNKS = 20, 32
 BUCKETS = 1 << BITS
@@ -164,17 +164,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> Model:
 
 
 def score(docs: DataFrame, model: Model, temperature: float = 0.1, seed: int = 7) -> DataFrame:
-    """``(doc_id, log_weight, draw)``: ``draw`` is log weight / temperature plus Gumbel noise of the id."""
+    """``(doc_id, sign, log_weight, draw)``: ``draw`` is log weight / temperature plus Gumbel noise of the id.
+
+    ``sign`` is a hash of the text: it tells apart documents that share an id.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sent.value.log_weights(b.column("text")))], ["id", "log_weight"])
 
-    rows = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(run, f"id {kind}, log_weight double")
-    uniform = (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    return rows.select(F.col("id").alias("doc_id"), "log_weight", (F.col("log_weight") / F.lit(temperature) - F.log(-F.log(uniform))).alias("draw"))
+    rows = docs.select(row_key("doc_id", "text").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(run, f"id {key_kind(docs, 'doc_id')}, log_weight double")
+    uniform = (F.pmod(F.xxhash64("id.id", F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    return rows.select(F.col("id.id").alias("doc_id"), F.col("id.sign").alias("sign"), "log_weight", (F.col("log_weight") / F.lit(temperature) - F.log(-F.log(uniform))).alias("draw"))
 
 
 def top_k_cut(scored: DataFrame, k: int, bins: int = 4096, last: int = 20_000) -> tuple[float, int | None] | None:
@@ -220,6 +222,6 @@ def importance_sample(docs: DataFrame, labels: DataFrame, max_labels: int = 20_0
 
 
 def keep(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
-    """The sampled documents with all their columns."""
-    kept = importance_sample(docs, labels, **parameters).select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """The sampled documents with all their columns; a document is kept by its own text, whatever its id."""
+    kept = importance_sample(docs, labels, **parameters).select(F.col("doc_id").alias("kept id"), F.col("sign").alias("kept sign")).distinct()
+    return docs.join(kept, same_row("doc_id", "text", F.col("`kept id`"), F.col("`kept sign`")), "left_semi")

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import connected, slices, stored
+from churnlens.llm.common import connected, row_key, same_row, slices, stored
 
 PIVOTS_PER_BLOCK = 12
 #: Blocks beyond ``distance``, which two linked fingerprints have in common at least.
@@ -131,15 +131,21 @@ def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
     return connected(found, "simhash-all")
 
 
-def simhash_groups(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp, component)`` for each row; the component is the smallest id reachable."""
-    prints = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-prints")
+def _grouped(docs: DataFrame, shingle: int, distance: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, sign, fp, root, component)`` for each row; ``sign`` is a hash of the text, equal in a group's rows: ``root``."""
+    keyed = docs.select(row_key(id_col, text_col).alias("id"), F.col(f"`{text_col}`").alias("text"))
+    prints = fingerprints(keyed, shingle, "id", "text").select("id.id", "id.sign", "fp")
+    prints = stored(prints, "simhash-prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
     roots = links(distinct.select("fp"), distance)
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
-    named = named.join(smallest, "root").select("fp", "component")
-    return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    return prints.join(named.join(smallest, "root").select("fp", "root", "component"), "fp")
+
+
+def simhash_groups(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, fp, component)`` for each row; the component is the smallest id reachable."""
+    return _grouped(docs, shingle, distance, id_col, text_col).select(F.col("id").alias(id_col), "fp", "component")
 
 
 def fingerprint_text(fp: Column) -> Column:
@@ -147,12 +153,18 @@ def fingerprint_text(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **parameters) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns.
-
-    Rows that share the smallest id of a group all stay; a group without any
-    id stays whole.
-    """
-    groups = simhash_groups(docs, id_col=id_col, **parameters)
-    kept = groups.where(F.col(id_col).eqNullSafe(F.col("component"))).select(F.col(id_col).alias("kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
+def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group, with all its columns: that with the smallest
+    id (null last), then the smallest hash of the text; of rows with this id and
+    text any one."""
+    groups = _grouped(docs, shingle, distance, id_col, text_col)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "sign")).alias("first"))
+    kept = first.select(F.col("first.id").alias("kept id"), F.col("first.sign").alias("kept sign"))
+    left = docs.join(kept, same_row(id_col, text_col, F.col("`kept id`"), F.col("`kept sign`")), "left_semi")
+    # repeated rows of a document that stays
+    again = groups.groupBy("id", "sign").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("twice id"), F.col("sign").alias("twice sign"))
+    twice = same_row(id_col, text_col, F.col("`twice id`"), F.col("`twice sign`"))
+    single, several = left.join(again, twice, "left_anti"), left.join(again, twice, "left_semi")
+    sign = F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    one = several.groupBy(F.col(f"`{id_col}`"), sign).agg(F.any_value(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+    return single.unionByName(one.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
