@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import slices, stored, words
+from churnlens.llm.common import key_kind, row_key, same_row, slices, stored, words
 
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -135,8 +135,8 @@ def find(docs: DataFrame, window: int = 5, id_col: str = "doc_id", text_col: str
             terms = [_terms(t, s, window) if s else [] for t, s in zip(b.column("text").to_pylist(), spans, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([[dict(zip(("kind", "start", "end"), x, strict=True)) for x in s] for s in spans], span), pa.array([[dict(zip(("entity", "term", "start", "end"), x, strict=True)) for x in t] for t in terms], term)], ["id", "spans", "terms"])
 
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(run, FOUND.format(id=docs.schema[id_col].dataType.simpleString()))
+    chosen = docs.select(row_key(id_col, text_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return chosen.mapInArrow(run, FOUND.format(id=key_kind(docs, id_col)))
 
 
 def _bit(terms: pa.Array | list[str]) -> np.ndarray:
@@ -228,9 +228,10 @@ def disclosing(found: DataFrame, docs: DataFrame, threshold: float = 0.8, suppor
 
 
 def pii_spans(docs: DataFrame, window: int = 5, threshold: float = 0.8, support: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, spans, term_spans)`` for each document: base spans, and the spans the method adds.
+    """``(id, sign, spans, term_spans)`` for each document: base spans, and the spans the method adds.
 
-    ``term_spans`` holds ``(start, end, term, entity, disclosure)``, by start.
+    ``term_spans`` holds ``(start, end, term, entity, disclosure)``, by start;
+    ``sign`` is a hash of the text, which tells apart documents that share an id.
     """
     found = stored(find(docs, window, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pii-found")
     rated = stored(disclosing(found, docs, threshold, support, text_col), "pii-rated")
@@ -245,7 +246,7 @@ def pii_spans(docs: DataFrame, window: int = 5, threshold: float = 0.8, support:
         .agg(F.array_sort(F.collect_list(F.struct("start", "end", "term", F.col("why.entity").alias("entity"), F.col("why.disclosure").alias("disclosure")))).alias("term_spans"))
     )
     none = F.array().cast("array<struct<start:int,end:int,term:string,entity:string,disclosure:double>>")
-    return found.join(hits, "row", "left").select(F.col("id").alias(id_col), "spans", F.coalesce("term_spans", none).alias("term_spans"))
+    return found.join(hits, "row", "left").select(F.col("id.id").alias(id_col), F.col("id.sign").alias("sign"), "spans", F.coalesce("term_spans", none).alias("term_spans"))
 
 
 def span_text(spans: Column, kind_of) -> Column:
@@ -259,8 +260,9 @@ def kind_name(s: Column) -> Column:
 def sanitise(docs: DataFrame, spans: DataFrame, remove_at: float = 0.95, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with entities and disclosing terms written over.
 
-    ``spans`` is the result of ``pii_spans`` for these documents; ids must be
-    unique here.  Overlapping spans are written over once, by the first.
+    ``spans`` is the result of ``pii_spans`` for these documents; a document
+    finds its spans by id and text, so ids may be null or repeated.  Overlapping
+    spans are written over once, by the first.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -277,5 +279,9 @@ def sanitise(docs: DataFrame, spans: DataFrame, remove_at: float = 0.95, id_col:
                 texts.append("".join([*out, text[at:]]))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(texts, pa.string())], ["id", "text"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(spans.select(F.col(id_col).alias("id"), "spans", "term_spans"), "id", "left")
-    return rows.mapInArrow(run, f"id {kind}, text string").select(F.col("id").alias(id_col), F.col("text").alias(text_col))
+    # copies of a document have equal spans; one row of them is enough
+    own = spans.select(F.col(id_col).alias("own id"), F.col("sign").alias("own sign"), "spans", "term_spans").groupBy("own id", "own sign")
+    own = own.agg(F.any_value("spans").alias("spans"), F.any_value("term_spans").alias("term_spans"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(own, same_row("id", "text", F.col("`own id`"), F.col("`own sign`")), "left")
+    out = rows.select("id", "text", "spans", "term_spans").mapInArrow(run, f"id {kind}, text string")
+    return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col))
