@@ -33,8 +33,10 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import stored
 
 SAMPLE, CENTROIDS = 65_536, 4_096
-#: Points of a block of a list, and the number of points up to which one list holds all.
-BLOCK, SINGLE = 4_096, 2_048
+#: Points of a block of a list, and the lists within the ratio that a query may read whatever their share.
+BLOCK, READ = 4_096, 16
+#: A query reads lists until they have so many times the points it returns.
+REACH = 4
 #: Neighbours in the centroid graph.
 DEGREE = 24
 
@@ -191,45 +193,58 @@ def nearest(
     ``replicas`` and ``boundary``: a point stands on the lists of at most so
     many centroids, those within ``boundary`` times its least distance.
     ``probes`` and ``ratio``: a query reads at most this share of the lists,
-    those within ``ratio`` times its least distance.
+    (but ``READ``), those within ``ratio`` times its least distance; it goes on
+    in the order of distance until the lists read have ``REACH * k`` points.
     """
     spark = embeddings.sparkSession
     rows = stored(usable(embeddings, id_col, vector_col), "ann-rows")
     index = stored(points(rows, k + 1), "ann-points")
     n, top = index.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
-    lists = 1 if n <= SINGLE else min(CENTROIDS, round(n**0.5))
-    if lists > 1:
+    lists = max(1, min(CENTROIDS, round(n**0.5)))
+    if n:
         sample = index.orderBy(F.xxhash64("point"), "point").limit(SAMPLE).select("v").toArrow()
         graph = Graph(balanced_centroids(lifted(matrix(sample.column("v")), top), lists))
     else:
         graph = Graph(np.zeros((1, 1)))
     sent = spark.sparkContext.broadcast(graph)
 
-    def near(x: np.ndarray, beam: int, within: float) -> tuple[np.ndarray, np.ndarray]:
-        """Row and list of the lists within the distance ratio."""
-        if lists == 1:
-            return np.arange(len(x)), np.zeros(len(x), np.int64)
+    def near(x: np.ndarray, beam: int, within: float, held: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, list and place of the lists within the distance ratio, and of those needed to meet ``REACH * k`` points."""
         ids, d = sent.value.search(x, max(beam, 8))
-        good = d[:, :beam] <= within * within * np.maximum(d[:, :1], 1e-12)
+        good = d <= within * within * np.maximum(d[:, :1], 1e-12)
+        good[:, beam:] = False
+        if held is not None:
+            before = np.cumsum(held[ids], axis=1) - held[ids]
+            good |= before <= REACH * k
+            short = np.flatnonzero(held[ids].sum(axis=1) <= REACH * k)
+            if len(short) and ids.shape[1] < len(held):  # very small lists: all of them in order
+                more, rest = near(x[short], len(held), within, held)[:2]
+                row, at = np.nonzero(np.delete(good, short, axis=0))
+                left = np.delete(np.arange(len(x)), short)
+                return np.concatenate([left[row], short[more]]), np.concatenate([np.delete(ids, short, axis=0)[row, at], rest]), np.zeros(0)
         row, at = np.nonzero(good)
-        return row, ids[row, at]
+        return row, ids[row, at], at
 
     def post(batches):
         for b in batches:
             if b.num_rows:
-                row, at = near(lifted(matrix(b.column("v")), top), replicas, boundary)
+                row, at, place = near(lifted(matrix(b.column("v")), top), replicas, boundary)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(at), b.column("point").take(take), b.column("v").take(take)], ["list", "point", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(place == 0), b.column("point").take(take), b.column("v").take(take)], ["list", "main", "point", "v"])
 
     def ask(batches):
         for b in batches:
             if b.num_rows:
                 v = matrix(b.column("v"))
-                row, at = near(np.hstack([v, np.zeros((len(v), 1))]), max(1, round(lists * probes)), ratio)
+                row, at, _ = near(np.hstack([v, np.zeros((len(v), 1))]), min(lists, max(READ, round(lists * probes))), ratio, sizes.value)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(at), b.column("point").take(take), b.column("v").take(take)], ["list", "query", "q"])
 
-    postings = stored(index.select("point", "v").mapInArrow(post, "list long, point long, v array<double>"), "ann-lists")
+    postings = stored(index.select("point", "v").mapInArrow(post, "list long, main boolean, point long, v array<double>"), "ann-lists")
+    held = np.zeros(lists, np.int64)  # points of each list that have it as their nearest
+    for r in postings.where("main").groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
+    sizes = spark.sparkContext.broadcast(held)
     blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
     askers = rows.where(query(F.col("id"))).select("v").distinct().join(index.select("v", "point"), "v")
     asked = askers.select("point", "v").mapInArrow(ask, "list long, query long, q array<double>")
