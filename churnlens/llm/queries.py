@@ -69,7 +69,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents kept by importance resampling, with weights and draws."""
-    return quality.importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("sign")
 
 
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of what they decode to."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    read = bpe_codec.decode(bpe_codec.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN), vocabulary)
+    read = bpe_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
     return read.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
