@@ -79,9 +79,25 @@ def not_contains_ci_keep_null(text: ColumnOrName, word: str) -> Column:
     return ~F.lower(F.coalesce(_c(text), F.lit(""))).contains(word.lower())
 
 
+#: Neither case nor accents.
+CI_AI = "UNICODE_CI_AI"
+
+
 def like_ci(text: ColumnOrName, pattern: str) -> Column:
-    """X11 ``x LIKE pattern`` under a case-insensitive collation (MySQL default)."""
-    return _c(text).ilike(pattern)
+    """X11 ``x LIKE pattern`` under the original database's default collation,
+    which compares neither case nor accents (``NÃO`` is like ``nao``).
+
+    Patterns with ``%`` at their ends only are substring tests under Spark's
+    ``UNICODE_CI_AI`` collation; ``LIKE`` itself takes no such collation, so
+    other patterns compare without case but with accents.
+    """
+    word = pattern.strip("%")
+    if "%" in word or "_" in word:
+        return _c(text).ilike(pattern)
+    t, w = F.collate(_c(text), CI_AI), F.collate(F.lit(word), CI_AI)
+    if pattern.startswith("%") and pattern.endswith("%"):
+        return t.contains(w)
+    return F.endswith(t, w) if pattern.startswith("%") else F.startswith(t, w) if pattern.endswith("%") else t == w
 
 
 def greatest_strict(*cols: ColumnOrName) -> Column:

@@ -155,7 +155,7 @@ def consolidated_contracts(contract: DataFrame) -> DataFrame:
     )
 
 
-def contract_products(roles: Roles, rules: Rules, having: bool = True) -> DataFrame:
+def contract_products(roles: Roles, rules: Rules, having: bool = True, customer_id: int | None = None) -> DataFrame:
     """A14 one row per contract of the product-group query, HAVING applied (F8).
 
     Columns: cod_cliente, nome_cliente, id_contrato, status, data_assinatura,
@@ -165,6 +165,8 @@ def contract_products(roles: Roles, rules: Rules, having: bool = True) -> DataFr
         ~F.col("codigo").isin(list(rules.excluded_customers))
         & F.col("status").isin(rules.status_active, rules.status_cancelled)
     )
+    if customer_id is not None:
+        cad = cad.where(F.col("codigo") == F.lit(customer_id))
     items = contract_item_summary(roles.item, roles.item_dict, rules)
     con = consolidated_contracts(roles.contract)
     com = roles.registry.select(
@@ -194,14 +196,14 @@ def contract_products(roles: Roles, rules: Rules, having: bool = True) -> DataFr
     return out.where((F.col("flag_cpj") == 1) & (F.col("valor_contrato") > 0) & (F.col("total_usuarios") > 0))
 
 
-def customer_products(roles: Roles, rules: Rules, active_only: bool = False) -> DataFrame:
+def customer_products(roles: Roles, rules: Rules, active_only: bool = False, customer_id: int | None = None) -> DataFrame:
     """A16 one row per (customer, product group), HAVING applied (F8).
 
     Columns: cod_cliente, grupo_produto, cod_gr_produto, id_contrato, status,
     data_assinatura, data_cancelamento, valor_medio_contrato,
     media_usuarios, meses_vida_contrato, churn.
     """
-    tpc = contract_products(roles, rules)
+    tpc = contract_products(roles, rules, customer_id=customer_id)
     months = X.months_diff("data_assinatura", F.coalesce(F.col("data_cancelamento"), X.as_of_date(rules.as_of)))
     latest = F.max_by(
         F.struct("id_contrato", "status", "data_assinatura", "data_cancelamento"),

@@ -89,9 +89,10 @@ def join_category_twice(task: DataFrame, category: DataFrame) -> DataFrame:
 
 
 def join_task_status(task: DataFrame, status: DataFrame) -> DataFrame:
-    """J3 tasks LEFT JOIN status codes (a fixed code table: broadcast)."""
+    """J3 tasks LEFT JOIN status codes.  Spark broadcasts the code table where its
+    size allows; a table that a user maps to the role may have any size."""
     s = status.select(F.col("cod").alias("stos"), F.col("sto"), F.col("descr").alias("descr_status"))
-    return task.join(F.broadcast(s), "stos", "left")
+    return task.join(s, "stos", "left")
 
 
 def join_product_lookup(task: DataFrame, product: DataFrame) -> DataFrame:
@@ -212,18 +213,21 @@ def customer_tasks(
     )
 
 
-def product_tasks(roles: Roles, rules: Rules) -> DataFrame:
+def product_tasks(roles: Roles, rules: Rules, customer_id: int | None = None) -> DataFrame:
     """The product-group query's task CTE (filters F2-F6, status join J3).
 
     Columns: cliente, cod_ps, data_cad, nros, dias_exec_tarefa and the
     conditional durations, categoria, subcategoria, prioridade,
     grupo_trabalho, is_bug.  Rows without a duration are dropped (F6), as the
-    feature aggregate does.
+    feature aggregate does.  With ``customer_id`` (S8) the tasks of others go
+    before any lookup.
     """
     t = keep_products(drop_task_status(main_tasks(roles.task), rules), rules)
     t = drop_categories(t, rules).select(
         "cliente", "nros", "cod_ps", "data_cad", "data_exe", "categoria", "subcategoria", "prioridade", "para1", "stos"
     )
+    if customer_id is not None:
+        t = t.where(F.col("cliente") == F.lit(customer_id))
     t = with_category_flags(t, roles.category, rules).where(~F.col("is_excluded_text"))
     # NOT LIKE on the status text without COALESCE: unmatched or NULL text is dropped
     t = join_task_status(t, roles.status).where(~X.like_ci("descr_status", f"%{rules.return_text}%"))

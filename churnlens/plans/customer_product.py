@@ -23,14 +23,15 @@ from churnlens.rules import Rules
 from churnlens.sources.roles import Roles
 
 
-def customer_product_features(roles: Roles, rules: Rules, active_only: bool = False) -> DataFrame:
+def customer_product_features(roles: Roles, rules: Rules, active_only: bool = False, customer_id: int | None = None) -> DataFrame:
     """The product-group query: one row per (customer, product group) with tasks.
 
     ``active_only`` gives the production form (R7): ``churn = 0`` in the
-    group HAVING, plus the any-value ``dias_exec_tarefa`` column.
+    group HAVING, plus the any-value ``dias_exec_tarefa`` column.  ``customer_id``
+    is the single-customer parameter (S8), pushed to contracts and tasks.
     """
-    groups = contracts.customer_products(roles, rules, active_only=active_only)
-    feats = features.product_task_features(tasks.product_tasks(roles, rules), rules, with_last_value=active_only)
+    groups = contracts.customer_products(roles, rules, active_only=active_only, customer_id=customer_id)
+    feats = features.product_task_features(tasks.product_tasks(roles, rules, customer_id), rules, with_last_value=active_only)
     joined = groups.join(
         feats,
         (groups["cod_cliente"] == feats["cliente"]) & (groups["cod_gr_produto"] == feats["cod_ps"]),

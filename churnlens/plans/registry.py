@@ -92,6 +92,15 @@ def q_customer_product_features(spark, sf_dir):
     return customer_product.customer_product_features(roles(spark, sf_dir), R)
 
 
+#: A customer with product groups (S8 of the product-group query).
+ONE_PRODUCT_CUSTOMER = 9
+
+
+@register("param_query_product", f"SELECT * FROM ({oracle.customer_product_features_sql(R)}) q WHERE cod_cliente = {ONE_PRODUCT_CUSTOMER}")
+def q_param_query_product(spark, sf_dir):
+    return customer_product.customer_product_features(roles(spark, sf_dir), R, customer_id=ONE_PRODUCT_CUSTOMER)
+
+
 @register("customer_product_features_active", oracle.customer_product_features_sql(R, active_only=True))
 def q_customer_product_features_active(spark, sf_dir):
     return customer_product.customer_product_features(roles(spark, sf_dir), R, active_only=True)
