@@ -41,7 +41,9 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import slices
 
 #: Entries of a worker's memos (chunks and pieces, states, borders) and the longest chunk kept; beyond, they start anew.
-MEMO, STATES, BORDERS, MEMO_CHARS = 300_000, 250_000, 500_000, 40
+MEMO, STATES, BORDERS, MEMO_CHARS = 400_000, 300_000, 800_000, 40
+#: Ids decoded in one step; those of a long text are never parted.
+IDS = 500_000
 #: White space as Unicode defines it; a run of it and what follows up to the next run are cut alike anywhere.
 _SPACE = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
@@ -62,23 +64,30 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes = {i: token for token, i in ranks.items()}
-        #: The tree of tokens: the next nodes by byte, and the token that ends in a node.
-        self.next: list[dict[int, int]] = [{}]
+        #: The tree of tokens: the next node by node and byte, the token that ends in a node, whether it goes on.
+        self.next: dict[int, int] = {}
         self.ends: list[int | None] = [None]
+        self.inner = bytearray(1)
         for token, i in ranks.items():
             node = 0
             for byte in token:
-                if byte not in self.next[node]:
-                    self.next[node][byte] = len(self.next)
-                    self.next.append({})
+                self.inner[node] = 1
+                step = node << 8 | byte
+                if step not in self.next:
+                    self.next[step] = len(self.ends)
                     self.ends.append(None)
-                node = self.next[node][byte]
+                    self.inner.append(0)
+                node = self.next[step]
             self.ends[node] = i
         self.edges: dict[int, tuple | None] = {}
-        self.borders: dict[tuple[int, int], bool] = {}
+        self.borders: dict[int, bool] = {}
         self.start()
 
     def start(self) -> None:
+        # states refer to each other, so those of a former start wait for the collector
+        if getattr(self, "states", None):
+            for state in self.states.values():
+                state.clear()
         begin = (((), -1, 0),)
         self.first = {self.LIVE: begin}
         self.states: dict[tuple, dict] = {begin: self.first}
@@ -127,19 +136,20 @@ class Transducer:
 
     def step(self, state: dict, byte: int) -> tuple[dict, tuple]:
         """Determinise one transition."""
-        live, free = [], self.borders
+        live, free, onward, ends, inner = [], self.borders, self.next.get, self.ends, self.inner
         for written, last, node in state[self.LIVE]:
-            node = self.next[node].get(byte)
+            node = onward(node << 8 | byte)
             if node is None:
                 continue
-            token = self.ends[node]
+            token = ends[node]
             if token is not None:
-                ok = free.get((last, token))
+                pair = last << 32 | token
+                ok = free.get(pair)
                 if ok is None:
-                    ok = free[last, token] = self.follows(last, token)
+                    ok = free[pair] = self.follows(last, token)
                 if ok:
                     live.append(((*written, token), token, 0))
-            if self.next[node]:
+            if inner[node]:
                 live.append((written, last, node))
         # what all live runs have written is certain
         out, n = live[0][0], 0
@@ -282,7 +292,9 @@ def encoder(path: str, pattern: str) -> Encoder:
     """One encoder for each vocabulary and Python worker."""
     if (path, pattern) not in _loaded:
         _loaded[path, pattern] = Encoder(read_ranks(path), pattern)
-        gc.freeze()  # the tables stay as long as the worker; the collector need not walk them
+        # the tables stay as long as the worker and the memos hold no cycles that matter: the collector need not walk them often
+        gc.freeze()
+        gc.set_threshold(200_000, 50, 50)
     return _loaded[path, pattern]
 
 
@@ -292,24 +304,40 @@ def decoder(path: str) -> Decoder:
     return _loaded[path,]
 
 
+def _text_slices(b: pa.RecordBatch):
+    """Row slices of about ``IDS`` ids."""
+    size = np.cumsum(pc.fill_null(pc.list_value_length(b.column("ids")), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < b.num_rows:
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + IDS, "right")))
+        yield b.slice(at, to - at)
+        at = to
+
+
+def _encoded(e: Encoder, b: pa.RecordBatch) -> tuple[list[list[int]], pa.Array]:
+    ids = [e.encode(t) for t in pc.fill_null(b.column("text"), "").to_pylist()]
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), docs.schema[id_col].dataType.simpleString()
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, ids array<int>)`` of each row of ``docs``.
 
     ``vocabulary`` is the path of a file of base64 tokens and ranks, readable on
     every executor; ``pattern`` cuts the texts.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    rows, kind = _texts(docs, id_col, text_col)
 
     def run(batches):
         e = encoder(vocabulary, pattern)
         for b in slices(batches, "text"):
-            ids = [e.encode(t) for t in pc.fill_null(b.column("text"), "").to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), _encoded(e, b)[1]], ["id", "ids"])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
-    return out.select(F.col("id").alias(id_col), "ids")
+    return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -319,8 +347,22 @@ def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col:
     def run(batches):
         d = decoder(vocabulary)
         for b in batches:
-            text = [d.decode(ids or ()) for ids in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("ids"), pa.array(text, pa.string())], ["id", "ids", "text"])
+            for part in _text_slices(b):
+                text = [d.decode(ids.as_py() or ()) for ids in part.column("ids")]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], ["id", "ids", "text"])
 
     out = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(run, f"id {kind}, ids array<int>, text string")
-    return out.select(F.col("id").alias(id_col), "ids", "text")
+    return out.withColumnRenamed("id", id_col)
+
+
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, ids, text)``: ``encode`` and ``decode`` of its ids in one pass, for audits of whole tables."""
+    rows, kind = _texts(docs, id_col, text_col)
+
+    def run(batches):
+        e, d = encoder(vocabulary, pattern), decoder(vocabulary)
+        for b in slices(batches, "text"):
+            ids, column = _encoded(e, b)
+            yield pa.RecordBatch.from_arrays([b.column("id"), column, pa.array(map(d.decode, ids), pa.string())], ["id", "ids", "text"])
+
+    return rows.mapInArrow(run, f"id {kind}, ids array<int>, text string").withColumnRenamed("id", id_col)
