@@ -15,8 +15,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from churnlens.operators import evaluate as E
-from churnlens.operators import explain, models, profile, scoring
-from churnlens.plans import oracle
+from churnlens.operators import explain, histtrees, models, profile, scoring, search
+from churnlens.plans import comparison, oracle
 from churnlens.plans.catalog import MODEL_FEATURES, R4_WITH
 from churnlens.plans.catalog_analytics import (
     FEATS,
@@ -79,11 +79,17 @@ def q_gradient_boosting(spark, sf_dir):
 
 @register("rf_random_search")
 def q_rf_random_search(spark, sf_dir):
-    # registered with 2 draws x 2 folds to keep the gate short; the library
-    # default is the reference's 20 x 5 (tests run it on sf0.001)
+    """M8 in full: 20 draws x 5 folds."""
     train, _, kept = _train_test(spark, sf_dir)
-    _, table = models.random_search(train, kept, "rf", n_iter=2, folds=2)
-    return table
+    return search.forest_search(train, kept)[1]
+
+
+@register("second_order_boosting")
+def q_second_order_boosting(spark, sf_dir):
+    """M9 by gradient and hessian histograms: 100 rounds of depth 6."""
+    train, test, kept = _train_test(spark, sf_dir)
+    model = search.boosted(train, kept, models.class_weight_ratio(train.unionByName(test)))
+    return histtrees.predict(test, model, ["cod_cliente", "churn"])
 
 
 @register("model_store")
@@ -204,9 +210,13 @@ def q_tree_attribution(spark, sf_dir):
 
 @register("gbt_random_search")
 def q_gbt_random_search(spark, sf_dir):
-    # registered with 1 draw x 2 folds of the reference's boosting space (F1 of
-    # class 1); the library default is 50 x 5
+    """M10 in full: 50 draws x 5 folds, F1 of class 1."""
     train, test, kept = _train_test(spark, sf_dir)
-    ratio = models.class_weight_ratio(train.unionByName(test))
-    _, table = models.random_search(train, kept, "gbt", n_iter=1, folds=2, ratio=ratio)
-    return table
+    return search.boosting_search(train, kept, models.class_weight_ratio(train.unionByName(test)))[1]
+
+
+@register("metric_comparison_fitted")
+def q_metric_comparison_fitted(spark, sf_dir):
+    """E8 over the six fitted models, both searches in full."""
+    train, test, kept = _train_test(spark, sf_dir)
+    return comparison.compare_fitted(train, test, kept, models.class_weight_ratio(train.unionByName(test)))
