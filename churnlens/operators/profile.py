@@ -13,9 +13,10 @@ Scale notes
   unpivot runs once for a profile.
 * The correlation matrix is one distributed pass (MLlib ``Correlation``: a
   tree aggregate of the k x k Gramian), never a Python loop over pairs.
-* The KDE works on distinct (class, value) counts; each count row generates the
-  1,000 grid points (``sequence`` + ``explode``), so the work is distinct values
-  x grid, whatever the row count, and no cross join is needed.
+* The KDE sums the values up in bins of a tenth of the kernel's width, by their
+  first six moments, and each bin reaches the grid points within eight widths: the
+  work is bounded by the grid, for continuous columns too, and the error by 1e-8 of
+  the kernel's height.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from churnlens import functions as X
 from churnlens.operators.quantiles import exact_quantiles, value_counts
 
 LABEL = "churn"
+#: Bins of a kernel width, kernel widths that a value reaches, and the highest moment kept of a bin.
+KDE_BINS, KDE_REACH, KDE_ORDER = 10, 8, 5
 
 
 def to_long(df: DataFrame, features: Sequence[str], ids: Sequence[str] = (LABEL,)) -> DataFrame:
@@ -260,23 +263,44 @@ def kde_peak(
     grid point of highest density (first on ties).
 
     Scott's rule: kernel sd = sample sd * n^(-1/5) (one dimension).  Output:
-    class, n, kernel sd, peak position and peak density.
+    class, n, kernel sd, peak position and peak density.  A class whose values do
+    not vary has no kernel and no row.
+
+    A value ``c + d`` of the bin around ``c`` adds ``exp(-(u - t)^2 / 2)`` at a grid
+    point, with ``u = (x - c) / h`` and ``t = d / h``, which is ``exp(-u^2 / 2)``
+    times the sum of ``t^j / j!`` and the Hermite polynomials ``He_j(u)``.  A bin
+    keeps the sums of ``t^j`` up to ``j = 5``; with ``|t| <= 1/20`` the rest is under
+    1e-9 of the kernel's height, and beyond eight widths the kernel is under 1e-13.
     """
     v = F.col(value).cast("double")
     vals = df.where(F.col(value).isNotNull()).select(F.col(label), v.alias("v"))
     stats = vals.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"))
-    stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    counts = vals.groupBy(label, "v").agg(F.count(F.lit(1)).alias("c"))
+    stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where("bw > 0")
     # stats: one row per class, broadcast
-    g = counts.join(F.broadcast(stats), label).select(
-        label, "v", "c", "n", "bw", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("j")
-    )
+    near = vals.join(F.broadcast(stats.select(label, "bw")), label)
+    near = near.where((F.col("v") > lo - KDE_REACH * F.col("bw")) & (F.col("v") < hi + KDE_REACH * F.col("bw")))
+    width = F.col("bw") / KDE_BINS
+    near = near.withColumn("b", F.rint((F.col("v") - lo) / width)).withColumn("t", (F.col("v") - lo - F.col("b") * width) / F.col("bw"))
+    power = [F.lit(1.0)]
+    for _ in range(KDE_ORDER):
+        power.append(power[-1] * F.col("t"))
+    bins = near.groupBy(label, "b", "bw").agg(*[F.sum(p / math.factorial(j)).alias(f"m{j}") for j, p in enumerate(power)])
     step = (hi - lo) / (points - 1)
-    x = F.lit(lo) + F.col("j").cast("double") * F.lit(step)
-    z = (x - F.col("v")) / F.col("bw")
-    kern = F.col("c") * F.exp(F.lit(-0.5) * z * z)
-    dens = g.groupBy(label, "j", "n", "bw").agg(F.sum(kern).alias("k"))
+    centre = F.col("b") * width
+    first = F.greatest(F.lit(0), F.ceil((centre - KDE_REACH * F.col("bw")) / step).cast("int"))
+    last = F.least(F.lit(points - 1), F.floor((centre + KDE_REACH * F.col("bw")) / step).cast("int"))
+    g = bins.where(first <= last).withColumn("j", F.explode(F.sequence(first, last)))
+    u = (F.col("j").cast("double") * F.lit(step) - centre) / F.col("bw")
+    hermite = [F.lit(1.0), F.col("u")]
+    for k in range(1, KDE_ORDER):
+        hermite.append(F.col("u") * hermite[k] - F.lit(float(k)) * hermite[k - 1])
+    series = sum((F.col(f"m{k}") * h for k, h in enumerate(hermite)), F.lit(0.0))
+    kern = g.withColumn("u", u).select(label, "j", (F.exp(F.lit(-0.5) * F.col("u") * F.col("u")) * series).alias("k"))
+    # every grid point of a class has a density, if only 0: classes x points rows
+    empty = stats.select(label, F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("j"), F.lit(0.0).alias("k"))
+    dens = kern.unionByName(empty).groupBy(label, "j").agg(F.sum("k").alias("k")).join(F.broadcast(stats.select(label, "n", "bw")), label)
     norm = F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))
+    x = F.lit(lo) + F.col("j").cast("double") * F.lit(step)
     dens = dens.withColumn("densidade", F.col("k") / norm).withColumn("x", x)
     best = dens.groupBy(label, "n", "bw").agg(
         F.max_by(F.struct("x", "densidade"), F.struct(F.col("densidade"), -F.col("j"))).alias("b")

@@ -10,31 +10,37 @@ built DataFrame, so the builders never know where the data comes from:
   mapping documented in FIXTURES.md; it is what the tests and the bench use;
 * ``sources.jdbc.jdbc_roles`` - role tables read over JDBC.
 
-Role schemas (column: type)::
-
-    contract      codigo long, idcontrato long, status int, assinatura date,
-                  cancelamento date, vencimento date
-    item          id_contrato long, item long, quantidade decimal(10,0), valor decimal(14,4)
-    task          cliente long, nros long, nros_sub int, data_cad date, data_exe date,
-                  categoria long, subcategoria long, prioridade int, para1 long,
-                  stos string, cod_ps int
-    task_history  nros long, datafos date
-    user          cod_usu long, grupo_trabalho int
-    category      st long, dst string
-    status        cod string, sto string, descr string
-    item_dict     codigo long, grupo_produto string
-    registry      cod_cad long, nomecli string, empresa string
-    product       cod_ps int
+Role tables are read under declared schemas (``ROLE_SCHEMAS``): every column is
+cast to its type, a zero date becomes NULL, and what does not fit its type
+(malformed text, a decimal too long for its places) becomes NULL and is counted.  The counts
+are observed metrics of the very job that reads the rows, so they cost no second pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: The columns and types of the roles.
+ROLE_SCHEMAS = {
+    "contract": "codigo long, idcontrato long, status int, assinatura date, cancelamento date, vencimento date",
+    "item": "id_contrato long, item long, quantidade decimal(10,0), valor decimal(14,4)",
+    "task": "cliente long, nros long, nros_sub int, data_cad date, data_exe date, categoria long, subcategoria long, "
+    "prioridade int, para1 long, stos string, cod_ps int",
+    "task_history": "nros long, datafos date",
+    "user": "cod_usu long, grupo_trabalho int",
+    "category": "st long, dst string",
+    "status": "cod string, sto string, descr string",
+    "item_dict": "codigo long, grupo_produto string",
+    "registry": "cod_cad long, nomecli string, empresa string",
+    "product": "cod_ps int",
+}
+#: What the original database writes for a date that is none.
+ZERO_DATE = "0000-00-00"
+
 ROLE_NAMES = (
     "contract",
     "item",
@@ -100,9 +106,33 @@ class Roles:
         return Roles(self.spark, loaders)
 
 
-def table_roles(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> Roles:
-    """Roles stored as tables, one path per role."""
-    loaders = {role: (lambda p=path: spark.read.format(fmt).load(p)) for role, path in paths.items()}
+def typed_role(df: DataFrame, role: str, observation: Observation | None = None) -> DataFrame:
+    """``df`` under the role's schema; columns that the role has not are dropped.
+
+    With ``observation`` the job that first runs the result also counts the rows
+    (``rows``) and, for each column, the values that do not fit (``<column>_rejected``)
+    and, for dates, the zero dates (``<column>_zero``).
+    """
+    columns, metrics = [], [F.count(F.lit(1)).alias("rows")]
+    for field in T._parse_datatype_string(ROLE_SCHEMAS[role]).fields:
+        raw, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        zero = raw.cast("string").startswith(ZERO_DATE) if kind == "date" else F.lit(False)
+        value = F.when(~zero, raw.try_cast(kind)) if kind == "date" else raw.try_cast(kind)
+        columns.append(value.alias(field.name))
+        metrics.append(F.count_if(raw.isNotNull() & ~zero & raw.try_cast(kind).isNull()).alias(f"{field.name}_rejected"))
+        if kind == "date":
+            metrics.append(F.count_if(zero).alias(f"{field.name}_zero"))
+    return (df.observe(observation, *metrics) if observation else df).select(*columns)
+
+
+def table_roles(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", observations: dict[str, Observation] | None = None, **options: str) -> Roles:
+    """Roles stored as tables, one path per role, read under the role schemas.
+
+    ``observations`` holds one ``Observation`` for each role whose rejects are to
+    be counted; ``options`` go to the reader (separator, header).
+    """
+    watched = observations or {}
+    loaders = {role: (lambda r=role, p=path: typed_role(spark.read.format(fmt).options(**options).load(p), r, watched.get(r))) for role, path in paths.items()}
     return Roles(spark, loaders)
 
 
