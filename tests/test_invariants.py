@@ -141,7 +141,7 @@ def test_save_load_gives_equal_scores(spark, split, kept, tmp_path):
 
 
 def test_fitted_pipeline_scores_active_customers(spark, feats):
-    from churnlens.plans.registry import QUERIES
+    from churnlens.plans.queries import QUERIES
 
     rows = QUERIES["batch_score_fitted"](spark, SF0001).collect()
     active = {r["cod_cliente"] for r in feats.where("churn = 0").collect()}
