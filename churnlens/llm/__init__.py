@@ -2,5 +2,5 @@
 
 Nothing else in the library imports this package.  Each module holds one
 operator with its general interface; ``queries`` holds the thin registered
-queries (``op1_...`` to ``op10_...`` and ``pipeline``).
+queries (``op1_...`` to ``op13_...`` and ``pipeline``).
 """

@@ -2,21 +2,24 @@
 lies from that of every other source, and which terms make a source stand out.
 
 A ``CountVectorizer`` with ``minDF`` and the largest integer ``vocabSize`` is
-fitted on the terms of each language (a term carries its language in front, so
-one fit holds a vocabulary for each language) and turns every document into an
-exact sparse vector.  The vectors are added up by group, entry by entry, and
-the group sums are compared pair by pair over the terms that occur: terms that
-a pair lacks on one side or both are counted, not visited.
+fitted on the terms of each language and turns every document into an exact
+sparse vector (terms carry their language in front, so small languages can share
+a fit).  The vectors are added up by group, entry by entry, and the group sums
+are compared pair by pair over the terms that occur: terms that a pair lacks on
+one side or both are counted, not visited.
 
 For a group of N kept tokens and V kept terms in its language a term of count
 c gets ``p = 1 + floor(scale * (c + 1) / (N + V))``; a pair adds
 ``floor((p - q)^2 / q)`` over all kept terms.  All of it is integer or decimal
-arithmetic.  A pair's value depends on each term's two counts alone, so the
-terms are first counted by these two counts.
+arithmetic.  A pair's value starts as if every term were missing on both sides
+and is then corrected by the terms that occur: those of one side counted by
+their share, those of both by a join of the entries.
 
-The vocabulary passes through the driver (that is what the fit does), so it is
-fitted in parts: terms are dealt by hash into as many parts as keep each under
-``part_terms`` distinct terms, and the bound holds at every size.
+The vocabulary passes through the driver (that is what the fit does), so no fit
+may have more than about ``part_terms`` distinct terms: small languages share one
+and the terms of a large language are dealt by hash over several.  Their number is
+known from those terms whose hash makes them probes.  Only the languages with
+their numbers of probes reach the driver.
 
 Defined results: null texts, languages and sources count as empty; an empty
 text has no terms; repeated rows are documents of their own (also for
@@ -29,59 +32,133 @@ long texts are one row each and never cut.
 from __future__ import annotations
 
 import uuid
+import zlib
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import shared_dir, stored
+from churnlens.llm.common import shared_dir, slices, stored
 
-#: A term: ASCII letters and everything beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes as a text is read: A-Z become lower case, what stands in no term (ASCII but letters) becomes a space.
+#: All bytes of a character beyond ASCII lie above 0x7F, so terms can be found in UTF-8 as it is.
+READ = np.array([b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b > 0x7F else 0x20 for b in range(256)], np.uint8)
 #: Parts a language and its term; no term holds it.
 MARK = "\x00"
 #: A word without the mark, so that of no term.
 NO_WORD = ""
+#: Folders of the terms, by a hash of the language.
+BUCKETS = 16
+#: One of so many distinct terms is a probe by its hash; their number tells that of all.
+PROBES = 256
+
+
+def _lists(counts: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), values)
+
+
+def _read_terms(batches):
+    """Arrow batches (lang, source, text) to the marked terms of each text, and those among them that are probes."""
+    for b in slices(batches, "text"):
+        lang, text = b.column("lang"), pc.fill_null(b.column("text"), "")
+        rows = len(text)
+        ends = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + rows + 1]
+        read = READ[np.frombuffer(text.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]]
+        plain = pa.Array.from_buffers(pa.string(), rows, [None, pa.py_buffer(np.ascontiguousarray(ends - ends[0])), pa.py_buffer(read)])
+        parts = pc.ascii_split_whitespace(plain)
+        terms = parts.flatten()
+        owner = np.repeat(np.arange(rows), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+        real = pc.binary_length(terms).to_numpy(zero_copy_only=False) > 0
+        terms, owner = terms.filter(pa.array(real)), owner[real]
+        marked = pc.binary_join_element_wise(lang.take(pa.array(owner)), terms, MARK)
+        coded = marked.dictionary_encode()
+        chosen = np.array([zlib.crc32(w.encode()) % PROBES == 0 for w in coded.dictionary.to_pylist()], bool)
+        probe = chosen[coded.indices.to_numpy(zero_copy_only=False)] if len(chosen) else np.zeros(0, bool)
+        lists = _lists(np.bincount(owner, minlength=rows), marked), _lists(np.bincount(owner[probe], minlength=rows), marked.filter(pa.array(probe)))
+        yield pa.RecordBatch.from_arrays([lang, b.column("source"), *lists], ["lang", "source", "terms", "probes"])
 
 
 def term_rows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``(lang, source, terms)``: the marked terms of each document, repeats included."""
-    lang, source, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col))
-    found = F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERM), F.lit(0))
-    return docs.select(lang.alias("lang"), source.alias("source"), F.transform(found, lambda t: F.concat(lang, F.lit(MARK), t)).alias("terms"))
+    """``(lang, source, terms, probes)``: the marked terms of each document, repeats included."""
+    rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
+    return rows.mapInArrow(_read_terms, "lang string, source string, terms array<string>, probes array<string>")
+
+
+def _add_vectors(batches):
+    """Arrow batches (source, i, n) of sparse vectors to their sums by source and entry."""
+    for b in batches:
+        source = b.column("source").dictionary_encode()
+        size = pc.list_value_length(b.column("i")).to_numpy(zero_copy_only=False)
+        code = np.repeat(source.indices.to_numpy(zero_copy_only=False).astype(np.int64), size)
+        entry, place = np.unique(code << 32 | b.column("i").flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        total = np.bincount(place, b.column("n").flatten().to_numpy(zero_copy_only=False), len(entry))
+        yield pa.RecordBatch.from_arrays(
+            [source.dictionary.take(pa.array(entry >> 32)), pa.array((entry & 0xFFFFFFFF).astype(np.int32)), pa.array(total.astype(np.int64))], ["source", "i", "n"]
+        )
+
+
+def _by_bucket(rows: DataFrame) -> DataFrame:
+    """``rows`` written in folders by a hash of the language: a fit reads those of its languages only."""
+    place = f"{shared_dir(rows.sparkSession)}/llm/divergence-rows-{uuid.uuid4().hex}"
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("lang"), F.lit(BUCKETS)).cast("int"))
+    rows.write.partitionBy("bucket").parquet(place)
+    return rows.sparkSession.read.schema(rows.schema).parquet(place)
+
+
+def _parts(rows: DataFrame, part_terms: int) -> list[tuple[list[tuple[int, str]], int, int]]:
+    """The fits: ``([(bucket, language)], n, i)``, the i-th of n hash parts of the terms of some languages.
+
+    Small languages share a fit and large ones are dealt by hash, so that a fit
+    has about ``part_terms`` distinct terms at most, by the number of probes.
+    """
+    found = rows.select("bucket", "lang", F.explode_outer("probes").alias("t")).distinct().groupBy("bucket", "lang").agg(F.count("t").alias("n")).orderBy("lang").collect()
+    fits, own, held = [], [], 0
+    for lang, size in [((r["bucket"], r["lang"]), int(1.1 * PROBES * r["n"])) for r in found]:
+        if size > part_terms:
+            n = -(-size // part_terms)
+            fits += [([lang], n, i) for i in range(n)]
+            continue
+        if own and held + size > part_terms:
+            fits.append((own, 1, 0))
+            own, held = [], 0
+        own, held = [*own, lang], held + size
+    return [*fits, (own, 1, 0)] if own else fits
 
 
 def group_sums(rows: DataFrame, min_docs: int, part_terms: int) -> tuple[DataFrame, DataFrame]:
-    """The kept terms ``(lang, term)`` and their sums ``(lang, source, term, n)``."""
+    """The kept terms ``(id, lang, term)`` and their sums ``(id, source, n)``."""
     spark = rows.sparkSession
-    distinct = rows.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-    parts = 1 + int(1.1 * distinct) // part_terms
-    vocabulary, sums = [], []
-    for part in range(parts):
-        mine = rows if parts == 1 else rows.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == part))
+    none = spark.createDataFrame([], "id long, lang string, term string, source string, n long")
+    vocabulary, sums = none.select("id", "lang", "term"), none.select("id", "source", "n")
+    for part, (langs, n, i) in enumerate(_parts(rows, part_terms)):
+        mine = rows.where(F.col("bucket").isin([b for b, _ in langs]) & F.col("lang").isin([x for _, x in langs]))
+        if n > 1:
+            mine = mine.withColumn("terms", F.filter("terms", lambda t, n=n, i=i: F.pmod(F.xxhash64(t), F.lit(n)) == i))
         # the fit refuses an empty vocabulary, so it always finds one word that is no term
         filler = spark.range(max(1, min_docs)).select(F.array(F.lit(NO_WORD)).alias("terms"))
         model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1).fit(mine.select("terms").unionByName(filler))
         place = f"{shared_dir(spark)}/llm/vocabulary-{uuid.uuid4().hex}"
         model.write().save(place)
+        number = lambda c, part=part: (F.lit(part).cast("long") * 2**31 + c).alias("id")
         words = spark.read.parquet(f"{place}/data").select(F.posexplode("vocabulary").alias("i", "word")).where(F.col("word") != NO_WORD)
         words = words.withColumn("term", F.substring_index("word", MARK, -1))
-        words = stored(words.select("i", F.substr("word", F.lit(1), F.char_length("word") - F.char_length("term") - 1).alias("lang"), "term"), "divergence-terms")
+        words = words.select(number(F.col("i")), F.substr("word", F.lit(1), F.char_length("word") - F.char_length("term") - 1).alias("lang"), "term")
         # the sparse vectors are added entry by entry: a dense sum of a group would be as long as the vocabulary
         vector = F.unwrap_udt("vector")
-        entries = model.transform(mine).select("source", F.explode(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("n"))).alias("e"))
-        by_index = entries.groupBy("source", F.col("e.i").alias("i")).agg(F.sum(F.col("e.n").cast("long")).alias("n"))
-        vocabulary.append(words.select("lang", "term"))
-        sums.append(stored(by_index.join(words, "i").select("lang", "source", "term", "n"), "divergence-sums"))
-    for part in range(1, parts):
-        vocabulary[0], sums[0] = vocabulary[0].unionByName(vocabulary[part]), sums[0].unionByName(sums[part])
-    return vocabulary[0], sums[0]
+        entries = model.transform(mine).select("source", vector["indices"].alias("i"), vector["values"].alias("n"))
+        added = entries.mapInArrow(_add_vectors, "source string, i int, n long")
+        added = added.groupBy("source", "i").agg(F.sum("n").alias("n")).select(number(F.col("i")), "source", "n")
+        vocabulary, sums = vocabulary.unionByName(stored(words, "divergence-terms")), sums.unionByName(stored(added, "divergence-sums"))
+    return vocabulary, sums
 
 
-def share(count: str, tokens: str, terms: str, scale: int) -> Column:
+def share(count: Column, tokens: Column, terms: Column, scale: int) -> Column:
     """``1 + floor(scale * (count + 1) / (tokens + terms))``, exact."""
-    return F.expr(f"1 + (cast({scale} as decimal(19,0)) * cast({count} + 1 as decimal(19,0))) div cast({tokens} + {terms} as decimal(38,0))")
+    whole = F.lit(scale).cast("decimal(19,0)") * (count + 1).cast("decimal(19,0)")
+    return F.when(tokens + terms > 0, F.call_function("div", whole, (tokens + terms).cast("decimal(38,0)"))).otherwise(0).cast("long") + 1
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -94,7 +171,7 @@ def divergence(
     min_docs: int = 3,
     top: int = 200,
     scale: int = 1_000_000_000,
-    part_terms: int = 5_000_000,
+    part_terms: int = 1_000_000,
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
@@ -104,50 +181,41 @@ def divergence(
     Part ``pair``: every other source of the language, by value.  Part
     ``term``: the ``top`` terms that the group uses more than its language.
     """
-    rows = stored(term_rows(docs, text_col, lang_col, source_col), "divergence-rows")
+    rows = _by_bucket(term_rows(docs, text_col, lang_col, source_col))
     vocabulary, sums = group_sums(rows, min_docs, part_terms)
+    sums = stored(sums.join(vocabulary, "id"), "divergence-named")
 
+    # one row a group: its kept terms and tokens, and the share of a term that it lacks
     sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("v"))
     tokens = sums.groupBy("lang", "source").agg(F.sum("n").alias("tokens"))
-    # one row a group, not one a document, from here on
-    groups = rows.select("lang", "source").distinct().join(sizes, "lang", "left").join(tokens, ["lang", "source"], "left")
-    groups = stored(groups.fillna(0, ["v", "tokens"]), "divergence-groups")
-
-    # how many terms have a pair of counts, by the two sources; zero on a side means that the side lacks the term
-    side = sums.select("lang", "term", F.col("source").alias("a"), F.col("n").alias("ca"))
-    other = sums.select("lang", "term", F.col("source").alias("b"), F.col("n").alias("cb"))
-    keys = ["lang", "a", "b", "ca", "cb"]
-    both = stored(side.join(other, ["lang", "term"]).where("a <> b").groupBy(*keys).agg(F.count("*").alias("m")), "divergence-both")
-    names = groups.select("lang", F.col("source").alias("a"), F.col("v").alias("v"))
-    pairs = stored(names.join(groups.select("lang", F.col("source").alias("b")), "lang").where("a <> b"), "divergence-pairs")
-    counts = sums.groupBy("lang", "source", "n").agg(F.count("*").alias("m"))
-    only_a = counts.select("lang", F.col("source").alias("a"), F.col("n").alias("ca"), "m").join(pairs, ["lang", "a"]).select("lang", "a", "b", "ca", F.lit(0).cast("long").alias("cb"), "m")
-    only_b = counts.select("lang", F.col("source").alias("b"), F.col("n").alias("cb"), "m").join(pairs, ["lang", "b"]).select("lang", "a", "b", F.lit(0).cast("long").alias("ca"), "cb", "m")
-    none = F.lit(0).cast("long")
-    cells = (
-        pairs.select("lang", "a", "b", none.alias("ca"), none.alias("cb"), F.col("v").alias("m"))
-        .unionByName(only_a)
-        .unionByName(only_b)
-        .unionByName(only_a.select("lang", "a", "b", none.alias("ca"), "cb", (-F.col("m")).alias("m")))
-        .unionByName(only_b.select("lang", "a", "b", "ca", none.alias("cb"), (-F.col("m")).alias("m")))
-        .unionByName(both)
-        .unionByName(both.select("lang", "a", "b", "ca", none.alias("cb"), (-F.col("m")).alias("m")))
-        .unionByName(both.select("lang", "a", "b", none.alias("ca"), "cb", (-F.col("m")).alias("m")))
-        .unionByName(both.select("lang", "a", "b", none.alias("ca"), none.alias("cb"), F.col("m")))
-    )
-    cells = cells.groupBy(*keys).agg(F.sum("m").alias("m")).where("m <> 0")
-    of_a = groups.select("lang", F.col("source").alias("a"), "v", F.col("tokens").alias("ta"))
-    of_b = groups.select("lang", F.col("source").alias("b"), F.col("tokens").alias("tb"))
-    rated = cells.join(of_a, ["lang", "a"]).join(of_b, ["lang", "b"])
-    rated = rated.select("lang", "a", "b", "m", share("ca", "ta", "v", scale).alias("p"), share("cb", "tb", "v", scale).alias("q"))
-    values = rated.groupBy("lang", "a", "b").agg(F.sum(F.col("m") * distance(F.col("p"), F.col("q"))).alias("value"))
-    pair = pairs.select("lang", "a", "b").join(values, ["lang", "a", "b"], "left").select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"), F.coalesce("value", none).alias("value"))
-
-    whole = sums.groupBy("lang", "term").agg(F.sum("n").alias("all_n"))
-    of_lang = tokens.groupBy("lang").agg(F.sum("tokens").alias("all_tokens"))
-    term = sums.join(whole, ["lang", "term"]).join(groups, ["lang", "source"]).join(of_lang, "lang")
-    term = term.select("lang", "source", "term", share("n", "tokens", "v", scale).alias("p"), share("all_n", "all_tokens", "v", scale).alias("q")).where("p > q")
-    term = term.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), distance(F.col("p"), F.col("q")).alias("value"))
+    groups = rows.select("lang", "source").distinct().join(sizes, "lang", "left").join(tokens, ["lang", "source"], "left").fillna(0, ["v", "tokens"])
+    groups = stored(groups.withColumn("base", share(F.lit(0), F.col("tokens"), F.col("v"), scale)), "divergence-groups")
+    of_a = groups.select("lang", F.col("source").alias("a"), "v", F.col("base").alias("base_a"))
+    of_b = groups.select("lang", F.col("source").alias("b"), F.col("base").alias("base_b"))
+    pairs = stored(of_a.join(of_b, "lang").where("a <> b"), "divergence-pairs")
+    named = groups.select("lang", "source", "v", "tokens", "base")
+    rated = sums.join(named, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("tokens"), F.col("v"), scale))
+
+    # as if no term occurred in either source, then what the terms of a, of b and of both change
+    p, q, base_a, base_b = (F.col(c) for c in ("p", "q", "base_a", "base_b"))
+    bare = distance(base_a, base_b)
+    counted = rated.groupBy("lang", "source", "p").agg(F.count("*").alias("m"))
+    one = counted.join(pairs.select("lang", F.col("a").alias("source"), "b", "base_a", "base_b"), ["lang", "source"])
+    one = one.select("lang", F.col("source").alias("a"), "b", (F.col("m") * (distance(p, base_b) - bare)).alias("value"))
+    two = counted.withColumnRenamed("p", "q").join(pairs.select("lang", "a", F.col("b").alias("source"), "base_a", "base_b"), ["lang", "source"])
+    two = two.select("lang", "a", F.col("source").alias("b"), (F.col("m") * (distance(base_a, q) - bare)).alias("value"))
+    left = rated.select("id", "lang", F.col("source").alias("a"), "p", F.col("base").alias("base_a"))
+    right = rated.select("id", F.col("source").alias("b"), F.col("p").alias("q"), F.col("base").alias("base_b"))
+    both = left.join(right, "id").where("a <> b").groupBy("lang", "a", "b").agg(F.sum(distance(p, q) - distance(p, base_b) - distance(base_a, q) + bare).alias("value"))
+    none = pairs.select("lang", "a", "b", (F.col("v") * bare).alias("value"))
+    values = none.unionByName(one).unionByName(two).unionByName(both).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
+    pair = values.select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"), "value")
+
+    whole = sums.groupBy("id").agg(F.sum("n").alias("all_n"))
+    of_lang = groups.groupBy("lang").agg(F.sum("tokens").alias("all_tokens"))
+    term = rated.select("id", "lang", "source", "term", "p", "v").join(whole, "id").join(of_lang, "lang")
+    term = term.withColumn("q", share(F.col("all_n"), F.col("all_tokens"), F.col("v"), scale)).where("p > q")
+    term = term.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), distance(p, q).alias("value"))
 
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = F.row_number().over(order)
