@@ -128,6 +128,11 @@ def _parts(rows: DataFrame, part_terms: int) -> list[tuple[list[tuple[int, str]]
     return [*fits, (own, 1, 0)] if own else fits
 
 
+def _hashed_to(n: int, i: int):
+    # a lambda with defaults would count as one of three parameters
+    return lambda t: F.pmod(F.xxhash64(t), F.lit(n)) == i
+
+
 def group_sums(rows: DataFrame, min_docs: int, part_terms: int) -> tuple[DataFrame, DataFrame]:
     """The kept terms ``(id, lang, term)`` and their sums ``(id, source, n)``."""
     spark = rows.sparkSession
@@ -136,7 +141,7 @@ def group_sums(rows: DataFrame, min_docs: int, part_terms: int) -> tuple[DataFra
     for part, (langs, n, i) in enumerate(_parts(rows, part_terms)):
         mine = rows.where(F.col("bucket").isin([b for b, _ in langs]) & F.col("lang").isin([x for _, x in langs]))
         if n > 1:
-            mine = mine.withColumn("terms", F.filter("terms", lambda t, n=n, i=i: F.pmod(F.xxhash64(t), F.lit(n)) == i))
+            mine = mine.withColumn("terms", F.filter("terms", _hashed_to(n, i)))
         # the fit refuses an empty vocabulary, so it always finds one word that is no term
         filler = spark.range(max(1, min_docs)).select(F.array(F.lit(NO_WORD)).alias("terms"))
         model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1).fit(mine.select("terms").unionByName(filler))

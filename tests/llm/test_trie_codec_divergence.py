@@ -197,6 +197,14 @@ def test_divergence_by_brute_force(spark, parts, monkeypatch):
     assert set(audit(df, part_terms=parts, min_docs=1, top=2)) == brute_divergence(ROWS, 1, 2)
 
 
+def test_divergence_of_a_large_language_in_parts(spark):
+    word = lambda i: "w" + "".join(chr(97 + int(c)) for c in f"{i:04d}")
+    rows = [(" ".join(word(i) for i in range(d % 30 * 100, d % 30 * 100 + 100 + d)), "en", "ab"[d % 2]) for d in range(90)]
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    assert len(divergence._parts(divergence._by_bucket(divergence.term_rows(df)), 1000)) > 1
+    assert set(audit(df, part_terms=1000)) == brute_divergence(rows)
+
+
 def test_divergence_of_documents(spark, sf, documents):
     got = [tuple(r) for r in queries.op13_divergence(spark, sf).select("lang", "source", "part", "item", "value", "rank").collect()]
     assert set(got) == brute_divergence([(d["text"], d["lang"], d["source"]) for d in documents])
