@@ -311,6 +311,17 @@ def test_gradients():
     assert -attention.token_log_p(p, vocabulary, ids, n).sum() < 0.8 * before
 
 
+def test_language_model_trains_on_every_word(spark):
+    rows = [(1, "one two three " * 3000), (2, "single"), (None, None), (4, "word " * 500), (4, "word " * 500)]
+    path = P.path("byte_bpe_50k.tiktoken")
+    coder = lm_score.Subwords(path, P.PATTERN)
+    got = lm_score.stretches(spark.createDataFrame(rows, "id long, text string"), path, P.PATTERN).collect()
+    whole = sum(len(coder.encode("".join(" " + w for w in (t or "").split()))) + 1 for _, t in rows)
+    assert sum(r["n"] for r in got) == whole and all(len(r["ids"]) == 2 * r["n"] for r in got)
+    ids = np.concatenate([np.frombuffer(r["ids"], np.uint16) for r in got])
+    assert (ids == coder.end).sum() == len(rows)
+
+
 def test_lm_scores(spark, sf, documents, odd_docs, no_docs):
     path = P.path("byte_bpe_50k.tiktoken")
     got = {r.doc_id: r for r in queries.op6_lm_score(spark, sf).collect()}
