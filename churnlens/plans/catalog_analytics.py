@@ -101,11 +101,15 @@ def demo_scorer(s: scoring.LinearScorer = scoring.DEMO_SCORER) -> scoring.Linear
     return scoring.LinearScorer(s.intercept, s.weights, digits=None)
 
 
-def eval_frame_spark(spark, sf_dir, s=scoring.DEMO_SCORER):
+def held_out_spark(spark, sf_dir):
+    return split_spark(spark, sf_dir).where(F.col("is_test") == 1)
+
+
+def eval_frame_spark(spark, sf_dir, s=scoring.DEMO_SCORER, test=None):
     """Scored test rows ``(cod_cliente, y, p)``, checkpointed once: the curve
-    and metric operators run several small jobs over them."""
-    test = split_spark(spark, sf_dir).where(F.col("is_test") == 1)
-    scored = scoring.batch_score(test, demo_scorer(s))
+    and metric operators run several small jobs over them.  ``test`` holds the
+    test rows where the caller has them (several scorers on one split)."""
+    scored = scoring.batch_score(held_out_spark(spark, sf_dir) if test is None else test, demo_scorer(s))
     return materialize(E.scored_frame(scored, "churn", scoring.RISK, key=["cod_cliente"]))
 
 
@@ -615,6 +619,7 @@ def _comparison_sql() -> str:
 
 @register("metric_comparison", _comparison_sql())
 def q_metric_comparison(spark, sf_dir):
-    full = eval_frame_spark(spark, sf_dir)
-    reduced = eval_frame_spark(spark, sf_dir, scoring.DEMO_SCORER_REDUCED)
+    test = materialize(held_out_spark(spark, sf_dir))  # both scorers rate one split
+    full = eval_frame_spark(spark, sf_dir, test=test)
+    reduced = eval_frame_spark(spark, sf_dir, scoring.DEMO_SCORER_REDUCED, test)
     return rounded(E.metric_comparison({"completo": full, "reduzido": reduced}))

@@ -1,11 +1,11 @@
-"""The rows of one task do not grow with the input: sessions sized by it and no shuffle by a
-column of few values."""
+"""The rows of one task do not grow with the input: sessions sized by it, no shuffle by a
+column of few values, one feature table for several scorers."""
 
 import pytest
 
 from churnlens import session
 from churnlens.operators import tasks
-from churnlens.plans import customer, customer_product
+from churnlens.plans import catalog_analytics, customer, customer_product
 from churnlens.rules import DRIVER_RULES
 from churnlens.sources.roles import driver_roles, read_driver_table
 from role_cases import SF0001
@@ -40,3 +40,11 @@ def test_tasks_are_not_shuffled_by_their_few_status_codes(spark):
     roles = driver_roles(spark, SF0001)
     plan = tasks.join_task_status(roles.task, roles.status)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(stos" not in plan and "hashpartitioning(concat" not in plan
+
+
+def test_both_scorers_rate_one_split(spark, monkeypatch):
+    made = []
+    plain = catalog_analytics.r4
+    monkeypatch.setattr(catalog_analytics, "r4", lambda *where: made.append(where) or plain(*where))
+    assert catalog_analytics.q_metric_comparison(spark, SF0001).count() == 10
+    assert len(made) == 1
