@@ -1,10 +1,12 @@
 """The rows of one task do not grow with the input: sessions sized by it, no shuffle by a
 column of few values, one feature table for several scorers."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from churnlens import session
-from churnlens.operators import tasks
+from churnlens.operators import histtrees, tasks
 from churnlens.plans import catalog_analytics, customer, customer_product
 from churnlens.rules import DRIVER_RULES
 from churnlens.sources.roles import driver_roles, read_driver_table
@@ -48,3 +50,14 @@ def test_both_scorers_rate_one_split(spark, monkeypatch):
     monkeypatch.setattr(catalog_analytics, "r4", lambda *where: made.append(where) or plain(*where))
     assert catalog_analytics.q_metric_comparison(spark, SF0001).count() == 10
     assert len(made) == 1
+
+
+def test_matrices_pass_through_arrow_and_its_slices():
+    rows = np.arange(60, dtype=np.float32).reshape(12, 5)
+    values = histtrees._binary(rows)
+    assert values.to_pylist() == [r.tobytes() for r in rows]
+    assert (histtrees._matrix(values, np.float32) == rows).all()
+    assert (histtrees._matrix(values.slice(3, 4), np.float32) == rows[3:7]).all()
+    assert len(histtrees._matrix(values.slice(3, 0), np.float32)) == 0
+    assert (histtrees._matrix(values.cast(pa.large_binary()).slice(3, 4), np.float32) == rows[3:7]).all()
+    assert (histtrees._matrix(pa.array([b"ab", b"cd"], pa.binary()), np.uint8) == [[97, 98], [99, 100]]).all()
