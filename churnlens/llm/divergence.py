@@ -16,10 +16,12 @@ and is then corrected by the terms that occur: those of one side counted by
 their share, those of both by a join of the entries.
 
 The vocabulary passes through the driver (that is what the fit does), so no fit
-may have more than about ``part_terms`` distinct terms: small languages share one
-and the terms of a large language are dealt by hash over several.  Their number is
-known from those terms whose hash makes them probes.  Only the languages with
-their numbers of probes reach the driver.
+may keep more than about ``part_terms`` terms: small languages share one and the
+terms of a large language are dealt by hash over several.  Their number is known
+from the documents of those terms whose hash makes them probes; terms of too few
+documents never leave the executors and do not count.  Only the languages with
+their numbers of kept probes reach the driver.  All fits write to the same tables,
+so later plans have the same size however many there are.
 
 Defined results: null texts, languages and sources count as empty; an empty
 text has no terms; repeated rows are documents of their own (also for
@@ -41,7 +43,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import shared_dir, slices, stored
+from churnlens.llm.common import Growing, shared_dir, slices, stored
 
 #: Bytes as a text is read: A-Z become lower case, what stands in no term (ASCII but letters) becomes a space.
 #: All bytes of a character beyond ASCII lie above 0x7F, so terms can be found in UTF-8 as it is.
@@ -52,7 +54,7 @@ MARK = "\x00"
 NO_WORD = ""
 #: Folders of the terms, by a hash of the language.
 BUCKETS = 16
-#: One of so many distinct terms is a probe by its hash; their number tells that of all.
+#: One of so many distinct terms is a probe by its hash; the number of those kept tells that of all.
 PROBES = 256
 
 
@@ -108,13 +110,15 @@ def _by_bucket(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(place)
 
 
-def _parts(rows: DataFrame, part_terms: int) -> list[tuple[list[tuple[int, str]], int, int]]:
+def _parts(rows: DataFrame, part_terms: int, min_docs: int = 1) -> list[tuple[list[tuple[int, str]], int, int]]:
     """The fits: ``([(bucket, language)], n, i)``, the i-th of n hash parts of the terms of some languages.
 
     Small languages share a fit and large ones are dealt by hash, so that a fit
-    has about ``part_terms`` distinct terms at most, by the number of probes.
+    has about ``part_terms`` terms of ``min_docs`` documents at most, by the number
+    of probes.
     """
-    found = rows.select("bucket", "lang", F.explode_outer("probes").alias("t")).distinct().groupBy("bucket", "lang").agg(F.count("t").alias("n")).orderBy("lang").collect()
+    probes = rows.select("bucket", "lang", F.explode_outer(F.array_distinct("probes")).alias("t")).groupBy("bucket", "lang", "t").agg(F.count("t").alias("docs"))
+    found = probes.groupBy("bucket", "lang").agg(F.count_if(F.col("t").isNotNull() & (F.col("docs") >= min_docs)).alias("n")).orderBy("lang").collect()
     fits, own, held = [], [], 0
     for lang, size in [((r["bucket"], r["lang"]), int(1.1 * PROBES * r["n"])) for r in found]:
         if size > part_terms:
@@ -137,8 +141,8 @@ def group_sums(rows: DataFrame, min_docs: int, part_terms: int) -> tuple[DataFra
     """The kept terms ``(id, lang, term)`` and their sums ``(id, source, n)``."""
     spark = rows.sparkSession
     none = spark.createDataFrame([], "id long, lang string, term string, source string, n long")
-    vocabulary, sums = none.select("id", "lang", "term"), none.select("id", "source", "n")
-    for part, (langs, n, i) in enumerate(_parts(rows, part_terms)):
+    vocabulary, sums = Growing(none.select("id", "lang", "term"), "divergence-terms"), Growing(none.select("id", "source", "n"), "divergence-sums")
+    for part, (langs, n, i) in enumerate(_parts(rows, part_terms, min_docs)):
         mine = rows.where(F.col("bucket").isin([b for b, _ in langs]) & F.col("lang").isin([x for _, x in langs]))
         if n > 1:
             mine = mine.withColumn("terms", F.filter("terms", _hashed_to(n, i)))
@@ -156,8 +160,9 @@ def group_sums(rows: DataFrame, min_docs: int, part_terms: int) -> tuple[DataFra
         entries = model.transform(mine).select("source", vector["indices"].alias("i"), vector["values"].alias("n"))
         added = entries.mapInArrow(_add_vectors, "source string, i int, n long")
         added = added.groupBy("source", "i").agg(F.sum("n").alias("n")).select(number(F.col("i")), "source", "n")
-        vocabulary, sums = vocabulary.unionByName(stored(words, "divergence-terms")), sums.unionByName(stored(added, "divergence-sums"))
-    return vocabulary, sums
+        vocabulary.add(words)
+        sums.add(added)
+    return vocabulary.table(), sums.table()
 
 
 def share(count: Column, tokens: Column, terms: Column, scale: int) -> Column:
@@ -176,7 +181,7 @@ def divergence(
     min_docs: int = 3,
     top: int = 200,
     scale: int = 1_000_000_000,
-    part_terms: int = 1_000_000,
+    part_terms: int = 500_000,
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
@@ -200,6 +205,7 @@ def divergence(
     pairs = stored(of_a.join(of_b, "lang").where("a <> b"), "divergence-pairs")
     named = groups.select("lang", "source", "v", "tokens", "base")
     rated = sums.join(named, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("tokens"), F.col("v"), scale))
+    rated = stored(rated.drop("tokens"), "divergence-rated")  # read five times
 
     # as if no term occurred in either source, then what the terms of a, of b and of both change
     p, q, base_a, base_b = (F.col(c) for c in ("p", "q", "base_a", "base_b"))
