@@ -38,6 +38,8 @@ from churnlens.llm.common import PAYLOAD, joined, key_kind, payloads, row_key, s
 BITS, CHUNKS = 20, 32
 BUCKETS = 1 << BITS
 TARGET, LOW, TOXIC = range(3)
+#: Text read at a time: a step needs some thirty times its bytes, and an idle worker keeps what it has needed.
+STEP_BYTES = 1 << 20
 #: Standard errors that are tried, and pseudo-documents that draw a frequency to the common one.
 Z, PRIOR = (3.0, 4.0, 6.0, 8.0), 2.0
 
@@ -126,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> Model:
 
     def count(batches):
         total, docs = np.zeros((6, BUCKETS), np.int64), np.zeros(6, np.int64)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", STEP_BYTES):
             bucket, owner = features(b.column("text"))
             kind = b.column("kind").to_numpy() + 3 * b.column("half").to_numpy()
             docs += np.bincount(kind, minlength=6)
@@ -143,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> Model:
     sent = spark.sparkContext.broadcast(halves)
 
     def other(batches):
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", STEP_BYTES):
             half = b.column("half").to_numpy()
             weight = []
             for models in sent.value:
@@ -171,7 +173,7 @@ def score(docs: DataFrame, model: Model, temperature: float = 0.1, seed: int = 7
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", STEP_BYTES):
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sent.value.log_weights(b.column("text")))], ["id", "log_weight"])
 
     rows = docs.select(row_key("doc_id", "text").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(run, f"id {key_kind(docs, 'doc_id')}, log_weight double")

@@ -2,10 +2,13 @@
 
 import os
 import time
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from churnlens.llm import common, divergence
+from churnlens.llm import common, divergence, quality
 
 WORD = lambda i: "w" + "".join(chr(97 + int(c)) for c in f"{i:05d}")
 
@@ -52,3 +55,18 @@ def test_stored_tables_leave_no_shuffle_files_and_the_setting_stays(spark, monke
         time.sleep(0.1)
     assert files() <= old
     assert seen == [before] and spark.conf.get(common.CLEANUP) == before
+
+
+def test_a_quality_worker_needs_little_memory():
+    rng = np.random.default_rng(5)
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(map(WORD, rng.integers(0, 100_000, 300).tolist())) for _ in range(3000)]})
+    whole = quality.features(batch.column("text"))
+    tracemalloc.start()
+    n, most = 0, 0
+    for b in common.slices(iter([batch]), "text", quality.STEP_BYTES):
+        tracemalloc.reset_peak()
+        n += len(quality.features(b.column("text"))[0])
+        most = max(most, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    assert n == len(whole[0])
+    assert most < 40e6
