@@ -70,3 +70,35 @@ def test_a_quality_worker_needs_little_memory():
     tracemalloc.stop()
     assert n == len(whole[0])
     assert most < 40e6
+
+
+def test_terms_of_a_group_are_put_together_before_the_vectors(spark):
+    """Entries that the vectorizer reads do not grow with the repeats of a term, and tell its number and its documents."""
+    import collections
+
+    docs = [("aa aa bb " + "cc" * (i < 2), "en", "x") for i in range(200)] + [("aa", "en", None), ("", "en", "y"), ("aa dd dd", "de", "x")]
+    df = spark.createDataFrame(docs, "text string, lang string, source string").coalesce(1)
+    rows = divergence.term_rows(df, min_docs=3).collect()
+    n, seen, groups = collections.Counter(), collections.Counter(), set()
+    for r in rows:
+        if r.weight is not None:
+            groups.add((r.lang, r.source))
+            assert len(set(r.terms)) == len(r.terms)
+            n.update({(r.source, t): r.weight for t in r.terms})
+        else:
+            seen.update(r.seen)
+    term = lambda lang, t: lang + divergence.MARK + t
+    assert n == {("x", term("en", "aa")): 400, ("x", term("en", "bb")): 200, ("x", term("en", "cc")): 2, ("", term("en", "aa")): 1, ("x", term("de", "aa")): 1, ("x", term("de", "dd")): 2}
+    assert seen == {term("en", "aa"): 3, term("en", "bb"): 3, term("en", "cc"): 2, term("de", "aa"): 1, term("de", "dd"): 1}
+    assert groups == {("en", "x"), ("en", ""), ("en", "y"), ("de", "x")}
+    assert sum(len(r.terms or ()) + len(r.seen or ()) for r in rows) < 30
+
+
+def test_shares_are_exact_beside_the_bound_of_a_long(spark):
+    from pyspark.sql import functions as F
+
+    scale = 1_000_000_000
+    counts = [0, 7, (2**63 - 1) // scale - 1, (2**63 - 1) // scale, (2**63 - 1) // scale + 1]
+    df = spark.createDataFrame([(c, t, 3) for c in counts for t in (0, 11, 10**10)] + [(0, 0, 0)], "n long, tokens long, v long")
+    got = df.select("n", "tokens", "v", divergence.share(F.col("n"), F.col("tokens"), F.col("v"), scale).alias("p")).collect()
+    assert all(r.p == 1 + (scale * (r.n + 1) // (r.tokens + r.v) if r.tokens + r.v else 0) for r in got) and len(got) == 16
