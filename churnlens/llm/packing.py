@@ -4,7 +4,8 @@ Documents become token ids with an end id, longer ones are cut into pieces of
 ``capacity``, and all pieces are packed into as few sequences as possible:
 
 1. lengths above ``capacity * small`` are dealt, longest first, into groups of
-   equal cardinality, and each is rounded up to the longest of its group;
+   equal cardinality, and each is rounded up to the longest of its group (a length
+   that fills a group stays alone in it, and few lengths are a group each);
 2. for these few sizes configurations are optimised: a knapsack over the
    remaining sizes makes the fullest sequence that holds the largest one left,
    and it is used as often as the sizes last;
@@ -210,22 +211,20 @@ def plan(histogram: dict[int, int], capacity: int, groups: int = 48, small: floa
     out = Plan(capacity)
     large = [(s, histogram[s]) for s in sorted(histogram, reverse=True) if s > capacity * small and histogram[s]]
     # 1: groups of equal cardinality, as runs of actual lengths
-    each = max(1, -(-sum(n for _, n in large) // groups))
+    # (no more lengths than groups: each length is a group, and nothing is rounded)
+    each = max(1, -(-sum(n for _, n in large) // groups)) if len(large) > groups else 1
     grouped: list[list[list[int]]] = []
     filled = each
     for s, n in large:
         while n:
             if filled == each:
                 if grouped and grouped[-1][0][0] == s:
-                    filled = 0  # the same size goes on: no use in another group
-                else:
-                    grouped.append([])
-                    filled = 0
+                    grouped[-1][0][1] += n  # the same size goes on: no use in another group, and nothing smaller joins it
+                    break
+                grouped.append([])
+                filled = 0
             k = min(n, each - filled)
-            if grouped[-1] and grouped[-1][-1][0] == s:
-                grouped[-1][-1][1] += k
-            else:
-                grouped[-1].append([s, k])
+            grouped[-1].append([s, k])
             filled += k
             n -= k
     sizes = [g[0][0] for g in grouped]

@@ -102,3 +102,19 @@ def test_shares_are_exact_beside_the_bound_of_a_long(spark):
     df = spark.createDataFrame([(c, t, 3) for c in counts for t in (0, 11, 10**10)] + [(0, 0, 0)], "n long, tokens long, v long")
     got = df.select("n", "tokens", "v", divergence.share(F.col("n"), F.col("tokens"), F.col("v"), scale).alias("p")).collect()
     assert all(r.p == 1 + (scale * (r.n + 1) // (r.tokens + r.v) if r.tokens + r.v else 0) for r in got) and len(got) == 16
+
+
+@pytest.mark.parametrize("histogram, most", [({22: 23, 43: 28}, 40), ({45: 244, 20: 227}, 320), ({12: 108, 23: 293, 51: 10}, 180), ({39: 285, 28: 231}, 420)])
+def test_few_lengths_are_not_rounded_up_to_each_other(histogram, most):
+    """The last pieces of a length drew shorter ones into their group, which then took the room of the longer."""
+    from churnlens.llm import packing
+
+    assert packing.plan(histogram, 64, groups=6).sequences <= most
+
+
+def test_a_length_that_fills_a_group_stays_alone_in_it():
+    from churnlens.llm import packing
+
+    # seven lengths for six groups: the 28 pieces of 43 need a sequence each, two of 22 share one
+    histogram = {22: 19, 43: 28, 9: 1, 10: 1, 11: 1, 12: 1, 13: 1}
+    assert packing.plan(histogram, 64, groups=6).sequences <= 38
