@@ -4,8 +4,9 @@ Documents become token ids with an end id, longer ones are cut into pieces of
 ``capacity``, and all pieces are packed into as few sequences as possible:
 
 1. lengths above ``capacity * small`` are dealt, longest first, into groups of
-   equal cardinality, and each is rounded up to the longest of its group (a length
-   that fills a group stays alone in it, and few lengths are a group each);
+   equal cardinality, and each is rounded up to the longest of its group (done twice,
+   the better plan is kept: with groups of exactly that many, or where a length that
+   fills a group stays alone in it and few lengths are a group each);
 2. for these few sizes configurations are optimised: a knapsack over the
    remaining sizes makes the fullest sequence that holds the largest one left,
    and it is used as often as the sizes last;
@@ -207,24 +208,32 @@ def _configuration(sizes: list[int], left: list[int], capacity: int) -> list[int
 
 
 def plan(histogram: dict[int, int], capacity: int, groups: int = 48, small: float = 0.125) -> Plan:
-    """The packing of ``histogram`` (pieces by length, 1 to ``capacity``)."""
+    """The packing of ``histogram`` (pieces by length, 1 to ``capacity``): by either grouping, the one of fewer sequences."""
+    return min((_plan(histogram, capacity, groups, small, alone) for alone in (False, True)), key=lambda made: made.sequences)
+
+
+def _plan(histogram: dict[int, int], capacity: int, groups: int, small: float, alone: bool) -> Plan:
+    """``alone``: no shorter piece joins the group of a length that has filled one, and few lengths are a group each."""
     out = Plan(capacity)
     large = [(s, histogram[s]) for s in sorted(histogram, reverse=True) if s > capacity * small and histogram[s]]
     # 1: groups of equal cardinality, as runs of actual lengths
-    # (no more lengths than groups: each length is a group, and nothing is rounded)
-    each = max(1, -(-sum(n for _, n in large) // groups)) if len(large) > groups else 1
+    each = max(1, -(-sum(n for _, n in large) // groups)) if not alone or len(large) > groups else 1
     grouped: list[list[list[int]]] = []
     filled = each
     for s, n in large:
         while n:
             if filled == each:
-                if grouped and grouped[-1][0][0] == s:
-                    grouped[-1][0][1] += n  # the same size goes on: no use in another group, and nothing smaller joins it
+                if not grouped or grouped[-1][0][0] != s:
+                    grouped.append([])
+                elif alone:
+                    grouped[-1][0][1] += n
                     break
-                grouped.append([])
-                filled = 0
+                filled = 0  # where the same size goes on, another group is of no use
             k = min(n, each - filled)
-            grouped[-1].append([s, k])
+            if grouped[-1] and grouped[-1][-1][0] == s:
+                grouped[-1][-1][1] += k
+            else:
+                grouped[-1].append([s, k])
             filled += k
             n -= k
     sizes = [g[0][0] for g in grouped]
