@@ -79,3 +79,13 @@ def test_saved_forest_scores_alike_and_its_importances_add_up(spark, rows, tmp_p
                 at = nodes[tree, at["leftChild"] if low else at["rightChild"]]
             shares.append(at["impurityStats"][1] / sum(at["impurityStats"]))
         assert one[r["cod_cliente"], r["a"]] == pytest.approx(np.mean(shares))
+
+
+def test_rare_values_of_a_feature_with_few_are_cut_apart(spark):
+    """A value of one row in a thousand falls between the quantiles, but a feature of at most 32 values is cut behind each."""
+    rows = spark.range(1000).selectExpr("id", "cast(if(id < 3, id + 1, 0) as double) AS a", "if(id % 5 = 0, null, cast(id as double)) AS b", "cast(id % 2 as int) AS y")
+    plain, own = H.binned(rows, ["a", "b"], "y", "id"), H.binned(rows, ["a", "b"], "y", "id", missing=-1e300)
+    assert plain.cuts[0].tolist() in ([], [0.0]) and own.cuts[0].tolist() == [0.0, 1.0, 2.0]
+    assert own.cuts[1][0] == -1e300 and own.cuts[1][1:].tolist() == plain.cuts[1].tolist()
+    empty = H.binned(rows.where("id < 0"), ["a", "b"], "y", "id", missing=-1e300)
+    assert [len(c) for c in empty.cuts] == [0, 0]
